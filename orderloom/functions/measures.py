@@ -85,6 +85,11 @@ def units(col: str, name: str) -> Measure:
     return Measure(name, (_sum(col),), lambda: F.col(f"sum_{col}").cast("bigint"))
 
 
+def quantity(col: str, name: str) -> Measure:
+    """Sum of a quantity: a double, because a missing quantity may have been filled with a half."""
+    return Measure(name, (_sum(col),), lambda: _double(f"sum_{col}"))
+
+
 def money(col: str, name: str, places: int | None = 2) -> Measure:
     """Sum of a money column; exact until the last step."""
     if places is None:

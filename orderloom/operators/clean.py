@@ -14,6 +14,7 @@ from orderloom.operators.derive import order_flags
 from orderloom.operators.keys import keep_first
 from orderloom.operators.median import approximate_medians, exact_medians
 from orderloom.schemas import (
+    COLUMN_TYPES,
     CUSTOMER_COLUMNS,
     ORDER_COLUMNS,
     PRODUCT_COLUMNS,
@@ -119,3 +120,13 @@ def split_customers(df: DataFrame) -> DataFrame:
 def split_products(df: DataFrame) -> DataFrame:
     """One row per product: the payload of the first order line."""
     return keep_first(df, "product_id", ["order_item_id"], [c for c in PRODUCT_COLUMNS if c in df.columns])
+
+
+def narrow_types(df: DataFrame) -> DataFrame:
+    """Back to integers where filling medians widened an integer key, count or flag.
+
+    Only columns whose values are whole by nature are narrowed; a quantity filled with a
+    half stays a decimal.
+    """
+    whole = [c for c, t in COLUMN_TYPES.items() if isinstance(t, IntegralType) and c != "quantity" and c in df.columns]
+    return df.withColumns({c: F.col(c).cast(COLUMN_TYPES[c]) for c in whole})

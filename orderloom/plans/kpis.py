@@ -27,6 +27,7 @@ from orderloom.functions.measures import (
     money,
     money_where,
     per_distinct,
+    quantity,
     rate,
     ratio,
     smallest,
@@ -130,7 +131,7 @@ KPIS: dict[str, Kpi] = {
     ),
     "kpi05_inventory_by_product": Kpi(
         [
-            units("quantity", "total_qty_sold"),
+            quantity("quantity", "total_qty_sold"),
             distinct("order_id", "order_count"),
             money("sales", "total_revenue"),
             per_distinct("quantity", "order_id", "avg_qty_per_order"),
@@ -143,7 +144,7 @@ KPIS: dict[str, Kpi] = {
     ),
     "kpi05_inventory_by_category": Kpi(
         [
-            units("quantity", "total_qty_sold"),
+            quantity("quantity", "total_qty_sold"),
             money("sales", "total_revenue"),
             ratio("sales", "cost_per_order", "turnover_proxy"),
         ],

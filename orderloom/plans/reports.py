@@ -16,11 +16,11 @@ from orderloom.functions.measures import (
     lines,
     mean,
     money,
+    quantity,
     rate,
     ratio,
     ratio_or_zero,
     summarize,
-    units,
 )
 from orderloom.functions.rounding import round_half_away
 from orderloom.operators.star import star_join
@@ -200,7 +200,7 @@ def fulfillment_cards(base: DataFrame) -> DataFrame:
         [
             rate("is_fulfilled", "fulfill", None),
             rate("is_cancelled", "cancel", None),
-            units("quantity", "total_units"),
+            quantity("quantity", "total_units"),
             mean("quantity", "avg_units", None),
         ],
     )
@@ -214,7 +214,7 @@ def fulfillment_cards(base: DataFrame) -> DataFrame:
 
 
 def units_by_category(base: DataFrame) -> DataFrame:
-    rows = _by(base, ["category"], [units("quantity", "qty"), money("sales", "revenue", None)])
+    rows = _by(base, ["category"], [quantity("quantity", "qty"), money("sales", "revenue", None)])
     return rows.orderBy(F.desc("qty"), "category")
 
 

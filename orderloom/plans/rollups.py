@@ -12,8 +12,10 @@ from orderloom.functions.measures import (
     distinct,
     filled,
     finish,
+    fold,
     fold_through,
     mean,
+    merge,
     money,
     rate,
     share_of_lines,
@@ -127,6 +129,69 @@ def rollups(orders: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+# ── rollups that are kept current batch by batch ──
+#
+# A cube of partial aggregates over all rollup keys is small (months x regions x modes x
+# departments) whatever the number of order lines, and cubes of disjoint batches can be
+# merged. So the fact is aggregated once when it arrives; a refresh reads cubes only.
+
+CUBE_KEYS = [*MONTH_KEYS, *REGION_KEYS, *MODE_KEYS, *SUPPLIER_KEYS]
+_SUPPLIER_SUMS = [m for m in SUPPLIER if m.mergeable]
+_CUBE_MEASURES = [*_SUPPLIER_SUMS, *MONTHLY, *REGIONAL, *SHIPPING]
+
+
+def rollup_cube(orders: DataFrame) -> DataFrame:
+    """Partial aggregates of enriched order lines per cube cell."""
+    return fold(orders, CUBE_KEYS, _CUBE_MEASURES)
+
+
+def supplier_product_pairs(orders: DataFrame) -> DataFrame:
+    """The products of each supplier; with the cube, all that the supplier rollup needs."""
+    return orders.select(*SUPPLIER_KEYS, "product_id").distinct()
+
+
+def rollups_from_cube(cube: DataFrame, pairs: DataFrame) -> dict[str, DataFrame]:
+    """The four rollup tables as on first load."""
+    return {
+        "kpi_monthly": finish(merge(cube, MONTH_KEYS, MONTHLY), MONTH_KEYS, MONTHLY).orderBy(*MONTH_KEYS),
+        "kpi_regional": finish(merge(cube, REGION_KEYS, REGIONAL), REGION_KEYS, REGIONAL).orderBy(
+            F.desc("total_revenue"), *REGION_KEYS
+        ),
+        "kpi_shipping": finish(merge(cube, MODE_KEYS, SHIPPING), MODE_KEYS, SHIPPING).orderBy(
+            F.desc("total_orders"), *MODE_KEYS
+        ),
+        "supplier_metrics": _supplier_from_cube(cube, pairs),
+    }
+
+
+def refreshed_from_cube(cube: DataFrame, pairs: DataFrame) -> dict[str, DataFrame]:
+    """The four rollup tables as published by the daily run: monthly and regional rounded."""
+    dated = cube.where("order_year IS NOT NULL")
+    month_names = {"order_year": "year", "order_month": "month"}
+    monthly = merge(dated, MONTH_KEYS, MONTHLY_REFRESH).withColumnsRenamed(month_names)
+    placed = cube.dropna(subset=REGION_KEYS)
+    return {
+        **rollups_from_cube(cube, pairs),
+        "kpi_monthly": finish_monthly(monthly),
+        "kpi_regional": finish_regional(merge(placed, REGION_KEYS, REGIONAL_REFRESH)),
+    }
+
+
+def _supplier_from_cube(cube: DataFrame, pairs: DataFrame) -> DataFrame:
+    sums = merge(cube, SUPPLIER_KEYS, _SUPPLIER_SUMS)
+    regions = cube.groupBy(*SUPPLIER_KEYS).agg(F.count_distinct("order_region").alias("distinct_order_region"))
+    products = pairs.groupBy(*SUPPLIER_KEYS).agg(F.count_distinct("product_id").alias("distinct_product_id"))
+    # One row per supplier on each side; a missing department is a group like any other.
+    for counts in (products, regions):
+        renamed = counts.withColumnsRenamed({k: f"_{k}" for k in SUPPLIER_KEYS})
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in SUPPLIER_KEYS]
+        sums = sums.join(renamed, same, "left").drop(*[f"_{k}" for k in SUPPLIER_KEYS])
+    return finish(sums, SUPPLIER_KEYS, SUPPLIER).orderBy(*SUPPLIER_KEYS)
+
+
+# ── rollups over the star schema ──
+
+
 def refresh_monthly(star: Mapping[str, DataFrame]) -> DataFrame:
     """Monthly rollup through the date dimension; lines without a date drop out."""
     folded = fold_through(star["fact_orders"], "date_id", star["dim_date"], ["year", "month"], MONTHLY_REFRESH)

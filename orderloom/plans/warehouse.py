@@ -1,49 +1,92 @@
-"""The batch job: clean order lines in, written star schema and rollups out.
+"""The batch jobs: clean order lines in, written star schema and rollups out.
 
-Each stage is written and read back before the next one uses it. That cuts the lineage
-at tables that survive a lost executor, gives Spark real sizes for its join choices, and
-lets every KPI read a few columns of one fact instead of repeating the joins below it.
+Every batch of lines, the first load included, is written once and read back before
+anything else uses it. That cuts the lineage at a table that survives a lost executor,
+gives Spark real sizes for its join choices, and lets every KPI read a few columns of one
+fact instead of repeating the joins below it.
+
+Layout of a warehouse folder: ``lines`` and ``fact_orders`` (by batch and order year),
+``rollup_cube`` and ``supplier_products`` (by batch), five dimensions, four rollups,
+``pipeline_runs``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import time
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderloom.operators.clean import clean_lines, split_customers, split_orders, split_products
+from orderloom.operators import star as st
+from orderloom.operators.clean import clean_lines, date_parts, split_customers, split_orders, split_products
 from orderloom.operators.derive import enrich_orders
-from orderloom.operators.star import build_dimensions, build_fact
+from orderloom.operators.keys import number_rows
 from orderloom.plans import kpis
-from orderloom.plans.rollups import rollups
-from orderloom.schemas import FACT_COLUMNS, PRIMARY_KEYS, ROLLUP_TABLES
+from orderloom.plans.rollups import (
+    refreshed_from_cube,
+    rollup_cube,
+    rollups,
+    rollups_from_cube,
+    supplier_product_pairs,
+)
+from orderloom.schemas import CUSTOMER_COLUMNS, GEO_COLUMNS, PRIMARY_KEYS, PRODUCT_COLUMNS, WAREHOUSE_TABLES
 from orderloom.session import fresh_path
-from orderloom.sources.readers import read_raw_csv
-from orderloom.sources.writers import YEAR, save_kpis, write_fact, write_table
+from orderloom.sources.readers import read_raw_csv, read_tables
+from orderloom.sources.writers import append_batch, append_fact, export_refreshed, log_run, save_kpis, write_table
 
+RUN_LOG_TABLE = "pipeline_runs"
 
-def build_warehouse(spark: SparkSession, lines: DataFrame, folder: str) -> dict[str, DataFrame]:
-    """Write lines, dimensions, fact and rollups under ``folder``; return them as read back.
 
-    ``lines`` are wide clean order lines with customer and product columns.
-    """
-    store = _Store(spark, folder)
-    wide = store.keep("lines", enrich_orders(lines), [YEAR])
-    dims = build_dimensions(split_orders(wide), split_customers(wide), split_products(wide))
-    star = {name: store.keep(name, df) for name, df in dims.items()}
-    fact = build_fact(wide, star["dim_suppliers"], star["dim_geography"])
-    write_fact(fact, f"{folder}/fact_orders")
-    star["fact_orders"] = spark.read.parquet(f"{folder}/fact_orders")
-    for name, df in rollups(wide).items():
-        star[name] = store.keep(name, df)
-    star["lines"] = wide
-    return star
+def build_warehouse(spark: SparkSession, lines: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """First load. ``lines`` are wide clean order lines with customer and product columns."""
+    wide = _store_lines(spark, enrich_orders(date_parts(lines)), folder, 0)
+    dims = st.build_dimensions(split_orders(wide), split_customers(wide), split_products(wide))
+    for name, df in dims.items():
+        write_table(df, f"{folder}/{name}")
+    stored = read_tables(spark, folder, PRIMARY_KEYS)
+    append_fact(st.build_fact(wide, stored["dim_suppliers"], stored["dim_geography"]), f"{folder}/fact_orders", 0)
+    _store_parts(wide, folder, 0)
+    _publish(rollups_from_cube(*_parts(spark, folder)), folder)
+    return open_warehouse(spark, folder)
 
 
 def open_warehouse(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The tables of a written warehouse."""
-    names = ["lines", *PRIMARY_KEYS, "fact_orders", *ROLLUP_TABLES]
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+    """The tables of a written warehouse, and the wide ``lines`` they came from."""
+    return read_tables(spark, folder, [*WAREHOUSE_TABLES, "lines"])
+
+
+def append_lines(spark: SparkSession, folder: str, batch: DataFrame, batch_id: int) -> tuple[int, int]:
+    """Add one batch of order lines to a warehouse and refresh its rollups.
+
+    All derived columns and keys are computed for the new lines; days, places, suppliers,
+    customers and products that are new get their dimension rows. Returns (rows read, rows
+    added to the fact). Work grows with the batch, not with the fact: the rollups are
+    merged from the cubes of all batches. Repeating a batch id replaces that batch.
+    """
+    if batch_id < 1:
+        raise ValueError("batch 0 is the first load")
+    wide = _store_lines(spark, enrich_orders(date_parts(batch)), folder, batch_id)
+    _extend_dimensions(spark, wide, folder)
+    stored = read_tables(spark, folder, ["dim_suppliers", "dim_geography"])
+    fact = st.build_fact(wide, stored["dim_suppliers"], stored["dim_geography"])
+    added = append_fact(fact, f"{folder}/fact_orders", batch_id)
+    _store_parts(wide, folder, batch_id)
+    _publish(refreshed_from_cube(*_parts(spark, folder)), folder)
+    return wide.count(), added
+
+
+def run_daily(spark: SparkSession, folder: str, batch: DataFrame, batch_id: int, export_folder: str) -> None:
+    """Append, refresh, export, log. A failure is logged as FAILED and raised again."""
+    started, log = time.monotonic(), f"{folder}/{RUN_LOG_TABLE}"
+    read = added = 0
+    try:
+        read, added = append_lines(spark, folder, batch, batch_id)
+        export_refreshed(spark, open_warehouse(spark, folder), export_folder)
+    except Exception as e:
+        log_run(spark, log, "FAILED", read, added, "fact_orders", time.monotonic() - started, str(e)[:500])
+        raise
+    log_run(spark, log, "SUCCESS", read, added, "fact_orders", time.monotonic() - started)
 
 
 def processed_tables(lines: DataFrame) -> dict[str, DataFrame]:
@@ -59,32 +102,71 @@ def processed_tables(lines: DataFrame) -> dict[str, DataFrame]:
 
 def run_etl(spark: SparkSession, raw_path: str, folder: str) -> dict[str, DataFrame]:
     """Raw CSV to warehouse."""
-    store = _Store(spark, folder)
-    cleaned = store.keep("lines_clean", clean_lines(read_raw_csv(spark, raw_path)))
-    return build_warehouse(spark, cleaned, folder)
+    write_table(clean_lines(read_raw_csv(spark, raw_path)), f"{folder}/lines_clean")
+    return build_warehouse(spark, spark.read.parquet(f"{folder}/lines_clean"), folder)
 
 
 def run_kpis(spark: SparkSession, star: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     """Compute all KPIs with one fact pass per grouping and write each as a CSV result."""
-    store = _Store(spark, fresh_path(spark, "kpi-parts"))
-    return save_kpis(kpis.kpi_results(star, store.keep), folder)
+    parts = fresh_path(spark, "kpi-parts")
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        write_table(df, f"{parts}/{name}")
+        return spark.read.parquet(f"{parts}/{name}")
+
+    return save_kpis(kpis.kpi_results(star, keep), folder)
 
 
-class _Store:
-    """Writes a table and hands back the stored form."""
+def _store_lines(spark: SparkSession, wide: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    append_batch(wide, f"{folder}/lines", batch_id)
+    stored = spark.read.parquet(f"{folder}/lines/batch_id={batch_id}")
+    return stored.select(*wide.columns)
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
 
-    def keep(self, name: str, df: DataFrame, partition_by=()) -> DataFrame:
-        path = f"{self.folder}/{name}"
-        write_table(df, path, partition_by=partition_by)
-        return self.spark.read.parquet(path)
+def _store_parts(wide: DataFrame, folder: str, batch_id: int) -> None:
+    write_table(rollup_cube(wide), f"{folder}/rollup_cube/batch_id={batch_id}")
+    write_table(supplier_product_pairs(wide), f"{folder}/supplier_products/batch_id={batch_id}")
 
 
-def fact_contract(fact: DataFrame) -> DataFrame:
-    """The 33 fact columns, without storage columns."""
-    return fact.select(*FACT_COLUMNS)
+def _parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    stored = read_tables(spark, folder, ["rollup_cube", "supplier_products"])
+    return stored["rollup_cube"], stored["supplier_products"]
 
 
-Keep = Callable[[str, DataFrame], DataFrame]
+def _publish(tables: Mapping[str, DataFrame], folder: str) -> None:
+    for name, df in tables.items():
+        write_table(df, f"{folder}/{name}")
+
+
+def _extend_dimensions(spark: SparkSession, wide: DataFrame, folder: str) -> None:
+    """Append the dimension rows that a batch needs and the warehouse does not have yet."""
+    dims = read_tables(spark, folder, PRIMARY_KEYS)
+    new = {
+        "dim_date": _unseen(st.dim_date(wide), dims["dim_date"], ["date_id"]),
+        "dim_geography": _numbered_on(
+            _unseen(st.dim_geography(wide), dims["dim_geography"], GEO_COLUMNS), dims["dim_geography"], "geo_id"
+        ),
+        "dim_suppliers": _numbered_on(
+            _unseen(st.dim_suppliers(wide), dims["dim_suppliers"], ["department_id"]), dims["dim_suppliers"], "supplier_id"
+        ),
+    }
+    if set(CUSTOMER_COLUMNS) <= set(wide.columns):
+        new["dim_customers"] = _unseen(st.dim_customers(split_customers(wide)), dims["dim_customers"], ["customer_id"])
+    if set(PRODUCT_COLUMNS) <= set(wide.columns):
+        new["dim_products"] = _unseen(st.dim_products(split_products(wide)), dims["dim_products"], ["product_id"])
+    for name, rows in new.items():
+        # Written aside first: a table cannot be appended to while it is being read.
+        aside = fresh_path(spark, f"new-{name}")
+        if write_table(rows, aside):
+            write_table(spark.read.parquet(aside).select(*dims[name].columns), f"{folder}/{name}", mode="append")
+
+
+def _unseen(rows: DataFrame, dim: DataFrame, keys) -> DataFrame:
+    return rows.join(dim.select(*keys), list(keys), "left_anti")
+
+
+def _numbered_on(rows: DataFrame, dim: DataFrame, id_column: str) -> DataFrame:
+    """Ids that continue after the largest one in use, in the order of the batch's own ids."""
+    last = dim.select(F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    numbered = number_rows(rows, [F.col(id_column)], [F.floor(F.col(id_column) / 4096)])
+    return numbered.withColumn(id_column, last + F.col("_number")).drop("_number")

@@ -225,12 +225,18 @@ DIM_DATE = StructType(
 )
 
 
+# A missing quantity is filled with the median, which may be a half.
+CLEAN_QUANTITY = DecimalType(18, 1)
+
+
 def struct_of(columns, dates_as_text: bool = False) -> StructType:
-    """The contract of a table as a StructType."""
+    """The contract of a cleaned table as a StructType."""
     fields = []
     for name in columns:
         dtype = COLUMN_TYPES.get(name, StringType())
         if dates_as_text and isinstance(dtype, TimestampType):
             dtype = StringType()
+        if name == "quantity":
+            dtype = CLEAN_QUANTITY
         fields.append(StructField(name, dtype))
     return StructType(fields)

@@ -15,8 +15,6 @@ RUNTIME_CONF = {
     # Hot join keys are split at run time, also where that costs one more exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A written warehouse is read by year; dynamic overwrite lets one batch or year be replaced alone.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -9,14 +9,21 @@ import datetime as dt
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from orderloom.schemas import CLEAN_DATE_FORMAT, REFRESHED_TABLES, RUN_LOG, WAREHOUSE_TABLES
+from orderloom.schemas import CLEAN_DATE_FORMAT, FACT_COLUMNS, REFRESHED_TABLES, RUN_LOG, WAREHOUSE_TABLES
 
 YEAR = "order_year"
+CSV_FORMAT = {
+    "header": "true",
+    "escape": '"',
+    "timestampFormat": CLEAN_DATE_FORMAT,
+    # Blanks at either end belong to the value.
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Iterable[str] = ()) -> int:
@@ -27,15 +34,14 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return seen.get["rows"]
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> int:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, options: Mapping[str, str] | None = None) -> int:
     """Write CSV with a header and return the number of rows. ``single_file`` is for results
     that are small by definition; tables keep their partitions."""
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if single_file:
         observed = observed.coalesce(1)
-    writer = observed.write.mode("overwrite").option("header", True).option("escape", '"')
-    writer.option("timestampFormat", CLEAN_DATE_FORMAT).csv(path)
+    observed.write.mode("overwrite").options(**CSV_FORMAT, **(options or {})).csv(path)
     return seen.get["rows"]
 
 
@@ -91,28 +97,29 @@ def export_refreshed(spark: SparkSession, tables: Mapping[str, DataFrame], folde
 
 
 def load_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
-    """Replace the warehouse tables and return ``(table_name, n_rows)``.
-
-    The fact is partitioned by order year, so a report on some years reads only those.
-    """
+    """Replace the warehouse tables and return ``(table_name, n_rows)``."""
     counts = []
     for name in WAREHOUSE_TABLES:
-        df = tables[name]
-        if name == "fact_orders":
-            counts.append((name, write_fact(df, f"{folder}/{name}")))
-        else:
-            counts.append((name, write_table(df, f"{folder}/{name}")))
+        path = f"{folder}/{name}"
+        count = append_fact(tables[name], path, 0) if name == "fact_orders" else write_table(tables[name], path)
+        counts.append((name, count))
     return spark.createDataFrame(counts, "table_name string, n_rows bigint")
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Write fact rows partitioned by order year (a storage column, not part of the contract)."""
-    return write_table(fact.withColumn(YEAR, F.year("order_date")), path, mode, [YEAR])
+def append_batch(df: DataFrame, path: str, batch_id: int) -> int:
+    """Write one batch of order rows and return their number.
+
+    A batch owns the folder ``batch_id=<n>``: writing it again replaces it, so a run that is
+    repeated after a failure never adds its rows twice. Below it rows are partitioned by
+    order year, so that a report on some years reads only those.
+    """
+    year = F.year("order_date")
+    return write_table(df.withColumn(YEAR, year), f"{path}/batch_id={batch_id}", partition_by=[YEAR])
 
 
-def append_fact(batch: DataFrame, path: str) -> int:
-    """Append a batch to the fact and return the number of rows inserted."""
-    return write_fact(batch, path, mode="append")
+def append_fact(batch: DataFrame, path: str, batch_id: int) -> int:
+    """Append a batch of fact rows."""
+    return append_batch(batch.select(*[c for c in FACT_COLUMNS if c in batch.columns]), path, batch_id)
 
 
 def log_run(
@@ -126,12 +133,8 @@ def log_run(
     error_message: str | None = None,
 ) -> None:
     """Append one run to the log; ids count up from 1."""
-    try:
-        last = spark.read.schema(RUN_LOG).parquet(path).agg(F.max("run_id")).first()[0] or 0
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last = 0
+    spark.createDataFrame([], RUN_LOG).write.mode("ignore").parquet(path)
+    last = spark.read.schema(RUN_LOG).parquet(path).agg(F.max("run_id")).first()[0] or 0
     now = dt.datetime.now(dt.timezone.utc)
     row = (last + 1, now, status, rows_processed, rows_inserted, source_table, round(duration_secs, 2), error_message)
     spark.createDataFrame([row], RUN_LOG).write.mode("append").parquet(path)
