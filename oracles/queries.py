@@ -806,7 +806,7 @@ ORACLES["warehouse_load"] = with_star(
     "\nUNION ALL\n".join(f"SELECT '{n}' AS table_name, COUNT(*) AS n_rows FROM {src}" for n, (src, _) in _WAREHOUSE.items())
 )
 ORACLES["run_log_append"] = with_lines("""
-SELECT run_id, status, n AS rows_processed, CASE WHEN status = 'SUCCESS' THEN n ELSE 0 END AS rows_inserted,
+SELECT CAST(run_id AS BIGINT) AS run_id, status, n AS rows_processed, CASE WHEN status = 'SUCCESS' THEN n ELSE 0 END AS rows_inserted,
        'fact_orders' AS source_table, duration AS duration_secs, error_message
 FROM (SELECT COUNT(*) AS n FROM lines),
      (VALUES (1, 'SUCCESS', 1.23e0, NULL), (2, 'FAILED', 0.5e0, 'no input'), (3, 'SUCCESS', 2e0, NULL))

@@ -14,8 +14,16 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 from orderloom import testdata
 from orderloom.operators import clean, derive, profile, quality, star
 from orderloom.plans import batches, checks, kpis, reports, rollups, warehouse
-from orderloom.schemas import CUSTOMER_COLUMNS, ENRICHED_COLUMNS, FACT_COLUMNS, FLAG_COLUMNS, PROCESSED_TABLES, PRODUCT_COLUMNS
-from orderloom.schemas import AMOUNT_COLUMNS, ORDER_COLUMNS, RAW_DATES, TEXT_COLUMNS, WAREHOUSE_TABLES
+from orderloom.schemas import (
+    AMOUNT_COLUMNS,
+    ENRICHED_COLUMNS,
+    FACT_COLUMNS,
+    FLAG_COLUMNS,
+    ORDER_COLUMNS,
+    RAW_DATES,
+    TEXT_COLUMNS,
+    WAREHOUSE_TABLES,
+)
 from orderloom.session import fresh_path, tune
 from orderloom.sources import readers, writers
 from orderloom.streaming.append import append_new_files
@@ -68,8 +76,18 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse_of(spark, sf_dir)["lines"]
 
 
+_cleaned_paths: dict[tuple[str, str], str] = {}
+
+
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_lines(testdata.raw_lines(spark, sf_dir))
+    """The raw lines cleaned; written once per application, because three tables are split off it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _cleaned_paths:
+        path = fresh_path(spark, "lines-clean")
+        cleaned = clean.clean_lines(testdata.raw_lines(spark, sf_dir))
+        writers.write_table(clean.narrow_types(cleaned), path)
+        _cleaned_paths[key] = path
+    return spark.read.parquet(_cleaned_paths[key])
 
 
 def _new_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,13 +316,14 @@ def _(spark, sf_dir):
     return clean.standardize_text(named).select(*LINE, *TEXT_COLUMNS)
 
 
-query("split_orders")(lambda spark, sf: clean.split_orders(_as_contract(_cleaned(spark, sf))))
-query("split_customers")(lambda spark, sf: clean.split_customers(_as_contract(_cleaned(spark, sf))))
-query("split_products")(lambda spark, sf: clean.split_products(_as_contract(_cleaned(spark, sf))))
+query("split_orders")(lambda spark, sf: clean.split_orders(_cleaned(spark, sf)))
+query("split_customers")(lambda spark, sf: clean.split_customers(_cleaned(spark, sf)))
+query("split_products")(lambda spark, sf: clean.split_products(_cleaned(spark, sf)))
 
 
-def _as_contract(cleaned: DataFrame) -> DataFrame:
-    return clean.narrow_types(cleaned)
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    cleaned = _cleaned(spark, sf_dir)
+    return clean.split_orders(cleaned), clean.split_customers(cleaned), clean.split_products(cleaned)
 
 
 # ── sources and sinks ──
@@ -319,9 +338,7 @@ def _(spark, sf_dir):
 
 def _clean_csvs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     folder = fresh_path(spark, "clean-csv")
-    cleaned = _as_contract(_cleaned(spark, sf_dir))
-    parts = (clean.split_orders(cleaned), clean.split_customers(cleaned), clean.split_products(cleaned))
-    writers.save_cleaned(*parts, folder, csv=True)
+    writers.save_cleaned(*_split(spark, sf_dir), folder, csv=True)
     return readers.read_clean_csvs(spark, folder)
 
 
@@ -332,15 +349,13 @@ query("parse_csv_timestamps")(lambda spark, sf: _clean_csvs(spark, sf)["orders"]
 @query("save_cleaned")
 def _(spark, sf_dir):
     folder = fresh_path(spark, "clean")
-    cleaned = _as_contract(_cleaned(spark, sf_dir))
-    parts = (clean.split_orders(cleaned), clean.split_customers(cleaned), clean.split_products(cleaned))
-    saved = writers.save_cleaned(*parts, folder)
+    saved = writers.save_cleaned(*_split(spark, sf_dir), folder)
     return writers.readback(readers.read_tables(spark, folder, saved))
 
 
 def _processed_folder(spark: SparkSession, sf_dir: str) -> str:
     folder = fresh_path(spark, "processed")
-    writers.save_processed(warehouse.processed_tables(testdata.order_lines(spark, sf_dir)), folder)
+    writers.save_processed(warehouse.processed_tables(_lines(spark, sf_dir)), folder)
     return folder
 
 
@@ -352,7 +367,7 @@ def _(spark, sf_dir):
 @query("save_processed")
 def _(spark, sf_dir):
     folder = fresh_path(spark, "processed")
-    counts = writers.save_processed(warehouse.processed_tables(testdata.order_lines(spark, sf_dir)), folder)
+    counts = writers.save_processed(warehouse.processed_tables(_lines(spark, sf_dir)), folder)
     return spark.createDataFrame(list(counts.items()), "table_name string, n_rows bigint")
 
 

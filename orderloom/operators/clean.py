@@ -43,15 +43,15 @@ def fill_numeric_median(df: DataFrame, columns: Sequence[str] | None = None, exa
     columns = list(columns) if columns is not None else numeric_columns(df)
     if not columns:
         return df
-    medians = (exact_medians if exact else approximate_medians)(df, columns)
-    # One row: the medians side by side, read as a scalar subquery that Spark runs once.
+    medians = exact_medians(df, columns, incomplete_only=True) if exact else approximate_medians(df, columns)
+    # One row: the medians side by side, read as one scalar subquery in one column.
     wide = medians.agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in columns])
-    median = wide.select(F.struct(*columns)).scalar()
+    with_medians = df.withColumn("_median", wide.select(F.struct(*columns)).scalar())
     filled = {}
     for c in columns:
         target = _with_midpoint(df.schema[c].dataType)
-        filled[c] = F.coalesce(F.col(c).cast(target), median[c].cast(target))
-    return df.withColumns(filled)
+        filled[c] = F.coalesce(F.col(c).cast(target), F.col("_median")[c].cast(target))
+    return with_medians.withColumns(filled).drop("_median")
 
 
 def _with_midpoint(dtype: DataType) -> DataType:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators import star as st
-from orderloom.operators.clean import clean_lines, date_parts, split_customers, split_orders, split_products
+from orderloom.operators.clean import clean_lines, date_parts, narrow_types, split_customers, split_orders, split_products
 from orderloom.operators.derive import enrich_orders
 from orderloom.operators.keys import number_rows
 from orderloom.plans import kpis
@@ -102,7 +102,7 @@ def processed_tables(lines: DataFrame) -> dict[str, DataFrame]:
 
 def run_etl(spark: SparkSession, raw_path: str, folder: str) -> dict[str, DataFrame]:
     """Raw CSV to warehouse."""
-    write_table(clean_lines(read_raw_csv(spark, raw_path)), f"{folder}/lines_clean")
+    write_table(narrow_types(clean_lines(read_raw_csv(spark, raw_path))), f"{folder}/lines_clean")
     return build_warehouse(spark, spark.read.parquet(f"{folder}/lines_clean"), folder)
 
 
