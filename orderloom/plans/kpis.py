@@ -1,8 +1,8 @@
 """The ten business KPIs: 26 result tables, an executive summary and its vertical form.
 
 Each KPI is a declaration: which dimension it looks through, what it groups by, which
-measures it reports, how it is sorted and cut. ``kpi`` runs one; ``kpi_results`` plans
-all of them from one pass per grouping instead of one pass per KPI.
+measures it reports, how it is sorted and cut. ``kpi`` runs one; ``shared_parts`` and
+``results_from_parts`` run all of them with one pass per grouping instead of one per KPI.
 """
 
 from __future__ import annotations
@@ -315,24 +315,29 @@ def kpi(star: Mapping[str, DataFrame], name: str) -> DataFrame:
     return _present(spec, _folded(star, spec.through, spec.keys, spec.measures))
 
 
-def kpi_results(star: Mapping[str, DataFrame], keep=lambda name, df: df) -> dict[str, DataFrame]:
-    """All KPI result tables, with one pass over the fact per grouping.
+def shared_parts(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """One table of partial aggregates per grouping, with all its KPIs need.
 
-    KPIs that look through the same dimension by the same keys share one set of partial
-    aggregates; so the nine overall tables cost one scan. ``keep`` may store a set (for
-    example write it and read it back) so that its KPIs do not recompute it. Distinct
-    counts go with the grouping they belong to.
+    KPIs that look through the same dimension by the same keys share one pass over the
+    fact; so the nine overall tables cost one scan. The tables have as many rows as the
+    grouping has groups.
     """
-    groups: dict[tuple, list[str]] = {}
-    for name, spec in KPIS.items():
-        groups.setdefault((spec.through, tuple(spec.keys)), []).append(name)
-    results = {}
-    for (through, keys), names in groups.items():
-        measures = [m for n in names for m in KPIS[n].measures]
-        folded = keep("_".join([through or "fact", *keys]), _folded(star, through, keys, measures))
-        for n in names:
-            results[n] = _present(KPIS[n], folded)
-    return {n: results[n] for n in KPIS}
+    groups: dict[str, list[Kpi]] = {}
+    for spec in KPIS.values():
+        groups.setdefault(_grouping(spec), []).append(spec)
+    return {
+        name: _folded(star, specs[0].through, specs[0].keys, [m for s in specs for m in s.measures])
+        for name, specs in groups.items()
+    }
+
+
+def results_from_parts(parts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All KPI result tables, read off the shared parts (as planned or as stored)."""
+    return {name: _present(spec, parts[_grouping(spec)]) for name, spec in KPIS.items()}
+
+
+def _grouping(spec: Kpi) -> str:
+    return "_".join([spec.through or "fact", *spec.keys])
 
 
 def summary_vertical(star: Mapping[str, DataFrame]) -> DataFrame:

@@ -24,6 +24,7 @@ from orderloom.functions.measures import (
 )
 from orderloom.functions.rounding import round_half_away
 from orderloom.operators.star import star_join
+from orderloom.schemas import YEAR
 
 Star = Mapping[str, DataFrame]
 
@@ -49,7 +50,14 @@ def report_filter(
 
 
 def report_base(star: Star, attributes: Sequence[str] = (), **choices) -> DataFrame:
-    """Filtered star join with the filter columns and the attributes a page uses."""
+    """Filtered star join with the filter columns and the attributes a page uses.
+
+    A stored fact is partitioned by order year, so chosen years are also asked of the fact
+    itself and other years are not read at all.
+    """
+    fact, years = star["fact_orders"], choices.get("years")
+    if years and YEAR in fact.columns:
+        star = {**star, "fact_orders": fact.where(F.col(YEAR).isin(*years))}
     return report_filter(star_join(star, [*FILTERS, *attributes]), **choices)
 
 

@@ -13,7 +13,8 @@ Layout of a warehouse folder: ``lines`` and ``fact_orders`` (by batch and order
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from orderloom.plans.rollups import (
     supplier_product_pairs,
 )
 from orderloom.schemas import CUSTOMER_COLUMNS, GEO_COLUMNS, PRIMARY_KEYS, PRODUCT_COLUMNS, WAREHOUSE_TABLES
-from orderloom.session import fresh_path
+from orderloom.session import fresh_path, run_together
 from orderloom.sources.readers import read_raw_csv, read_tables
 from orderloom.sources.writers import append_batch, append_fact, export_refreshed, log_run, save_kpis, write_table
 
@@ -42,12 +43,11 @@ def build_warehouse(spark: SparkSession, lines: DataFrame, folder: str) -> dict[
     """First load. ``lines`` are wide clean order lines with customer and product columns."""
     wide = _store_lines(spark, enrich_orders(date_parts(lines)), folder, 0)
     dims = st.build_dimensions(split_orders(wide), split_customers(wide), split_products(wide))
-    for name, df in dims.items():
-        write_table(df, f"{folder}/{name}")
+    run_together([*_writes(dims, folder), *_part_writes(wide, folder, 0)])
     stored = read_tables(spark, folder, PRIMARY_KEYS)
-    append_fact(st.build_fact(wide, stored["dim_suppliers"], stored["dim_geography"]), f"{folder}/fact_orders", 0)
-    _store_parts(wide, folder, 0)
-    _publish(rollups_from_cube(*_parts(spark, folder)), folder)
+    fact = st.build_fact(wide, stored["dim_suppliers"], stored["dim_geography"])
+    rollup_tables = rollups_from_cube(*_parts(spark, folder))
+    run_together([lambda: append_fact(fact, f"{folder}/fact_orders", 0), *_writes(rollup_tables, folder)])
     return open_warehouse(spark, folder)
 
 
@@ -70,9 +70,9 @@ def append_lines(spark: SparkSession, folder: str, batch: DataFrame, batch_id: i
     _extend_dimensions(spark, wide, folder)
     stored = read_tables(spark, folder, ["dim_suppliers", "dim_geography"])
     fact = st.build_fact(wide, stored["dim_suppliers"], stored["dim_geography"])
-    added = append_fact(fact, f"{folder}/fact_orders", batch_id)
-    _store_parts(wide, folder, batch_id)
-    _publish(refreshed_from_cube(*_parts(spark, folder)), folder)
+    append = [lambda: append_fact(fact, f"{folder}/fact_orders", batch_id)]
+    added = run_together([*append, *_part_writes(wide, folder, batch_id)])[0]
+    run_together(_writes(refreshed_from_cube(*_parts(spark, folder)), folder))
     return wide.count(), added
 
 
@@ -110,11 +110,9 @@ def run_kpis(spark: SparkSession, star: Mapping[str, DataFrame], folder: str) ->
     """Compute all KPIs with one fact pass per grouping and write each as a CSV result."""
     parts = fresh_path(spark, "kpi-parts")
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        write_table(df, f"{parts}/{name}")
-        return spark.read.parquet(f"{parts}/{name}")
-
-    return save_kpis(kpis.kpi_results(star, keep), folder)
+    folded = kpis.shared_parts(star)
+    run_together(_writes(folded, parts))
+    return save_kpis(kpis.results_from_parts(read_tables(spark, parts, folded)), folder)
 
 
 def _store_lines(spark: SparkSession, wide: DataFrame, folder: str, batch_id: int) -> DataFrame:
@@ -123,9 +121,14 @@ def _store_lines(spark: SparkSession, wide: DataFrame, folder: str, batch_id: in
     return stored.select(*wide.columns)
 
 
-def _store_parts(wide: DataFrame, folder: str, batch_id: int) -> None:
-    write_table(rollup_cube(wide), f"{folder}/rollup_cube/batch_id={batch_id}")
-    write_table(supplier_product_pairs(wide), f"{folder}/supplier_products/batch_id={batch_id}")
+def _writes(tables: Mapping[str, DataFrame], folder: str) -> list[Callable[[], int]]:
+    return [partial(write_table, df, f"{folder}/{name}") for name, df in tables.items()]
+
+
+def _part_writes(wide: DataFrame, folder: str, batch_id: int) -> list[Callable[[], int]]:
+    """What the rollups need to know of a batch."""
+    parts = {"rollup_cube": rollup_cube(wide), "supplier_products": supplier_product_pairs(wide)}
+    return [partial(write_table, df, f"{folder}/{name}/batch_id={batch_id}") for name, df in parts.items()]
 
 
 def _parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -133,11 +136,6 @@ def _parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return stored["rollup_cube"], stored["supplier_products"]
 
 
-def _publish(tables: Mapping[str, DataFrame], folder: str) -> None:
-    for name, df in tables.items():
-        write_table(df, f"{folder}/{name}")
-
-
 def _extend_dimensions(spark: SparkSession, wide: DataFrame, folder: str) -> None:
     """Append the dimension rows that a batch needs and the warehouse does not have yet."""
     dims = read_tables(spark, folder, PRIMARY_KEYS)
@@ -154,12 +152,15 @@ def _extend_dimensions(spark: SparkSession, wide: DataFrame, folder: str) -> Non
         new["dim_customers"] = _unseen(st.dim_customers(split_customers(wide)), dims["dim_customers"], ["customer_id"])
     if set(PRODUCT_COLUMNS) <= set(wide.columns):
         new["dim_products"] = _unseen(st.dim_products(split_products(wide)), dims["dim_products"], ["product_id"])
-    for name, rows in new.items():
+
+    def extend(name: str, rows: DataFrame) -> None:
         # Written aside first: a table cannot be appended to while it is being read.
         aside = fresh_path(spark, f"new-{name}")
         if write_table(rows, aside):
             write_table(spark.read.parquet(aside).select(*dims[name].columns), f"{folder}/{name}", mode="append")
 
+    run_together([partial(extend, name, rows) for name, rows in new.items()])
+
 
 def _unseen(rows: DataFrame, dim: DataFrame, keys) -> DataFrame:
     return rows.join(dim.select(*keys), list(keys), "left_anti")

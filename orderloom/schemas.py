@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     DataType,
-    DateType,
     DecimalType,
     DoubleType,
     IntegerType,
@@ -178,6 +177,9 @@ FACT_COLUMNS = (
     "profit_margin_pct cost_per_order revenue_at_risk"
 ).split()
 
+# Storage column of batches of order rows; not part of any table's contract.
+YEAR = "order_year"
+
 # Warehouse: dimension -> key; fact foreign key -> dimension.
 PRIMARY_KEYS = {
     "dim_customers": "customer_id",
@@ -198,6 +200,39 @@ WAREHOUSE_TABLES = (*PRIMARY_KEYS, "fact_orders", *ROLLUP_TABLES)
 PROCESSED_TABLES = ("orders", "customers", "products", *ROLLUP_TABLES)
 REFRESHED_TABLES = ("fact_orders", "kpi_monthly", "kpi_regional")
 
+_MONTH_FIGURES = (
+    "total_orders total_revenue total_profit avg_delay_days on_time_rate avg_profit_margin cancelled_orders "
+    "fulfilled_orders perfect_orders revenue_at_risk avg_cost_per_order cancellation_rate_pct fulfillment_rate_pct "
+    "perfect_order_rate_pct on_time_rate_pct"
+)
+# Columns of the warehouse tables after a first load. The daily refresh publishes kpi_monthly and
+# kpi_regional without the columns of REFRESH_DROPS.
+TABLE_COLUMNS: dict[str, list[str]] = {
+    "dim_customers": CUSTOMER_COLUMNS,
+    "dim_products": PRODUCT_COLUMNS,
+    "dim_suppliers": "supplier_id department_id department_name".split(),
+    "dim_date": "date_id date year month month_name quarter week day_of_week is_weekend".split(),
+    "dim_geography": ["geo_id", *GEO_COLUMNS],
+    "fact_orders": FACT_COLUMNS,
+    "kpi_monthly": ["order_year", "order_month", *_MONTH_FIGURES.split()],
+    "kpi_regional": (
+        "market order_region total_orders total_revenue total_profit on_time_rate avg_delay_days revenue_at_risk "
+        "on_time_rate_pct"
+    ).split(),
+    "kpi_shipping": (
+        "shipping_mode total_orders avg_actual_days avg_delay_days on_time_rate total_revenue on_time_rate_pct"
+    ).split(),
+    "supplier_metrics": (
+        "department_id department_name total_orders total_revenue total_profit avg_delay_days on_time_rate "
+        "avg_lead_time_days avg_profit_margin total_cancelled total_fulfilled total_revenue_at_risk distinct_products "
+        "regions_served cancellation_rate fulfillment_rate on_time_rate_pct"
+    ).split(),
+}
+REFRESH_DROPS = {
+    "kpi_monthly": ["on_time_rate", "cancellation_rate_pct", "fulfillment_rate_pct", "perfect_order_rate_pct"],
+    "kpi_regional": ["on_time_rate"],
+}
+
 RUN_LOG = StructType(
     [
         StructField("run_id", LongType(), False),
@@ -210,21 +245,6 @@ RUN_LOG = StructType(
         StructField("error_message", StringType()),
     ]
 )
-DIM_DATE = StructType(
-    [
-        StructField("date_id", IntegerType()),
-        StructField("date", DateType()),
-        StructField("year", IntegerType()),
-        StructField("month", IntegerType()),
-        StructField("month_name", StringType()),
-        StructField("quarter", IntegerType()),
-        StructField("week", IntegerType()),
-        StructField("day_of_week", StringType()),
-        StructField("is_weekend", IntegerType()),
-    ]
-)
-
-
 # A missing quantity is filled with the median, which may be a half.
 CLEAN_QUANTITY = DecimalType(18, 1)
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -39,6 +42,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return tune(spark)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on an input that comes in fewer pieces than there are cores.
+
+    A file is never read in more tasks than it has row groups. Inputs with enough pieces, as
+    any large table has, are left as they are; only small ones pay for this shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
+def run_together(jobs: Iterable[Callable[[], object]], at_once: int = 4) -> list:
+    """Run independent Spark jobs side by side, so that the tail of one overlaps the next.
+
+    Results come in the order of the jobs; the first error is raised once all have ended.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        running = [pool.submit(job) for job in jobs]
+    return [r.result() for r in running]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

@@ -7,15 +7,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from orderloom.schemas import CLEAN_DATE_FORMAT, FACT_COLUMNS, REFRESHED_TABLES, RUN_LOG, WAREHOUSE_TABLES
+from orderloom.schemas import CLEAN_DATE_FORMAT, FACT_COLUMNS, REFRESHED_TABLES, RUN_LOG, WAREHOUSE_TABLES, YEAR
+from orderloom.session import run_together
 
-YEAR = "order_year"
 CSV_FORMAT = {
     "header": "true",
     "escape": '"',
@@ -49,12 +49,12 @@ def save_cleaned(orders: DataFrame, customers: DataFrame, products: DataFrame, f
     """Write the three cleaned tables as ``<name>_clean``."""
     tables = {"orders_clean": orders, "customers_clean": customers, "products_clean": products}
     write = write_csv if csv else write_table
-    return {name: write(df, f"{folder}/{name}") for name, df in tables.items()}
+    return dict(zip(tables, run_together([partial(write, df, f"{folder}/{name}") for name, df in tables.items()])))
 
 
 def save_processed(tables: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     """Write the processed tables; an error stops the run."""
-    return {name: write_table(df, f"{folder}/{name}") for name, df in tables.items()}
+    return dict(zip(tables, run_together([partial(write_table, df, f"{folder}/{name}") for name, df in tables.items()])))
 
 
 def save_kpi(df: DataFrame, folder: str, name: str) -> int:
@@ -63,7 +63,8 @@ def save_kpi(df: DataFrame, folder: str, name: str) -> int:
 
 
 def save_kpis(results: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
-    return {name: save_kpi(df, folder, name) for name, df in results.items()}
+    counts = run_together([partial(save_kpi, df, folder, name) for name, df in results.items()])
+    return dict(zip(results, counts))
 
 
 EXPORT_STATUS = StructType(
@@ -81,14 +82,15 @@ def export_csv(
     spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, names: Iterable[str] = WAREHOUSE_TABLES
 ) -> DataFrame:
     """Export tables to CSV, one status row each; a failing table is reported and skipped."""
-    status = []
-    for name in names:
+
+    def export(name: str) -> tuple:
         try:
             df = tables[name]
-            status.append((name, "ok", write_csv(df, f"{folder}/{name}"), len(df.columns), None))
+            return name, "ok", write_csv(df, f"{folder}/{name}"), len(df.columns), None
         except Exception as e:  # any failure of one table must not stop the others
-            status.append((name, "failed", None, None, f"{type(e).__name__}: {e}"[:500]))
-    return spark.createDataFrame(status, EXPORT_STATUS)
+            return name, "failed", None, None, f"{type(e).__name__}: {e}"[:500]
+
+    return spark.createDataFrame(run_together([partial(export, name) for name in names]), EXPORT_STATUS)
 
 
 def export_refreshed(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
@@ -98,11 +100,12 @@ def export_refreshed(spark: SparkSession, tables: Mapping[str, DataFrame], folde
 
 def load_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
     """Replace the warehouse tables and return ``(table_name, n_rows)``."""
-    counts = []
-    for name in WAREHOUSE_TABLES:
+
+    def load(name: str) -> tuple[str, int]:
         path = f"{folder}/{name}"
-        count = append_fact(tables[name], path, 0) if name == "fact_orders" else write_table(tables[name], path)
-        counts.append((name, count))
+        return name, append_fact(tables[name], path, 0) if name == "fact_orders" else write_table(tables[name], path)
+
+    counts = run_together([partial(load, name) for name in WAREHOUSE_TABLES])
     return spark.createDataFrame(counts, "table_name string, n_rows bigint")
 
 

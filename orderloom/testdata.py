@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schemas import RAW_DATES, RAW_RENAMES
+from orderloom.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,13 +20,18 @@ def _dec(c: str, precision: int, scale: int) -> Column:
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line, all order, customer and product columns, nothing derived."""
     t = {n: table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "nation", "region", "part")}
-    # Nation and region have a fixed 25 and 5 rows; their sizes are known to Spark from the files.
-    places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-    buyers = t["customer"].join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    # Orders meet their customers before their lines do: the lines, by far the largest input,
+    # are then shuffled for the order key only once. Nation and region have 25 and 5 rows at
+    # any scale, so they are broadcast; the other sides are left to Spark's size threshold.
+    heads = (
+        spread(t["orders"], "o_custkey")
+        .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
+        .join(F.broadcast(t["nation"]), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(F.broadcast(t["region"]), F.col("n_regionkey") == F.col("r_regionkey"))
+    )
     joined = (
-        t["lineitem"]
-        .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        spread(t["lineitem"], "l_orderkey")
+        .join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
     )
     real = F.pmod(F.datediff("l_shipdate", "o_orderdate"), F.lit(7))

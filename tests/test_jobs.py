@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from orderloom import testdata
 from orderloom.operators.clean import clean_lines, narrow_types
 from orderloom.plans import batches, kpis, rollups, warehouse
-from orderloom.schemas import FACT_COLUMNS
+from orderloom.schemas import FACT_COLUMNS, REFRESH_DROPS, TABLE_COLUMNS
 from orderloom.sources import readers, writers
 from orderloom.streaming.append import append_new_files
 
@@ -47,6 +47,12 @@ def test_fact_has_its_33_columns_and_all_lines(star, lines):
     assert fact.count() == lines.count()
 
 
+def test_written_tables_keep_their_contract(star):
+    for name, columns in TABLE_COLUMNS.items():
+        stored = [c for c in star[name].columns if name != "fact_orders" or c not in ("batch_id", "order_year")]
+        assert sorted(stored) == sorted(columns), name
+
+
 def test_append_in_two_batches_equals_one_load(spark, lines, folder, star):
     rest = lines.where("order_id % 2 = 1")
     read, added = warehouse.append_lines(spark, folder, rest, 1)
@@ -54,6 +60,8 @@ def test_append_in_two_batches_equals_one_load(spark, lines, folder, star):
     after = warehouse.open_warehouse(spark, folder)
     assert _rows(after["kpi_monthly"]) == _rows(rollups.refresh_monthly(star))
     assert _rows(after["kpi_regional"]) == _rows(rollups.refresh_regional(star))
+    for name, dropped in REFRESH_DROPS.items():
+        assert set(TABLE_COLUMNS[name]) - set(after[name].columns) == set(dropped)
     assert _rows(after["kpi_shipping"]) == _rows(star["kpi_shipping"])
     assert _rows(after["supplier_metrics"]) == _rows(star["supplier_metrics"])
     assert after["fact_orders"].count() == star["fact_orders"].count()

@@ -67,7 +67,7 @@ def test_turnover_is_null_when_costs_cancel_out(spark):
 
 
 def test_all_kpis_from_shared_passes_equal_single_ones(spark, star):
-    shared = kpis.kpi_results(star)
+    shared = kpis.results_from_parts(kpis.shared_parts(star))
     assert list(shared) == list(kpis.KPIS) and len(shared) == 27
     for name, df in shared.items():
         single = kpis.kpi(star, name)

@@ -38,6 +38,13 @@ def test_filter_reaches_the_dimensions(star):
     assert "LeftOuter" not in plan
 
 
+def test_chosen_years_prune_partitions_of_the_fact(star):
+    plan = reports.report_base(star, years=[1996, 1997])._jdf.queryExecution().executedPlan().toString()
+    assert any("order_year" in p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:])
+    years = reports.report_base(star, years=[1996, 1997]).select("year").distinct().collect()
+    assert {r["year"] for r in years} == {1996, 1997}
+
+
 def test_period_label(base):
     rows = reports.monthly_revenue_profit(base).collect()
     assert [r["period"] for r in rows] == ["2016-01", "2017-02", "2017-11"]
