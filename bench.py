@@ -57,7 +57,7 @@ def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=int(CPUS))
     seconds = {}
     # A small build first, so that the measured one does not pay for JVM start-up.
-    small = os.path.join(os.path.dirname(SF_DIR.rstrip("/")), "sf0.001")
+    small = os.path.join(os.path.dirname(SF_DIR.rstrip("/")), "sf0.01")
     if os.path.isdir(small):
         warehouse.build_warehouse(spark, testdata.order_lines(spark, small), fresh_path(spark, "bench-warm-up"))
     seconds["etl_build"] = timed(lambda: catalog.warehouse_of(spark, SF_DIR))
