@@ -6,6 +6,7 @@ Results are published in plain types: money as double, dates as text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,14 +62,16 @@ def query(name: str):
 # ── inputs ──
 
 _built: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_building = RLock()
 
 
 def warehouse_of(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The warehouse over the test tables: built and written once per application, then read."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _built:
-        lines = testdata.order_lines(spark, sf_dir)
-        _built[key] = warehouse.build_warehouse(spark, lines, fresh_path(spark, "warehouse"))
+    with _building:
+        if key not in _built:
+            lines = testdata.order_lines(spark, sf_dir)
+            _built[key] = warehouse.build_warehouse(spark, lines, fresh_path(spark, "warehouse"))
     return _built[key]
 
 
@@ -91,10 +94,11 @@ _paths: dict[tuple[str, str, str], str] = {}
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _paths:
-        path = fresh_path(spark, name)
-        writers.write_table(make(), path)
-        _paths[key] = path
+    with _building:
+        if key not in _paths:
+            path = fresh_path(spark, name)
+            writers.write_table(make(), path)
+            _paths[key] = path
     return spark.read.parquet(_paths[key])
 
 

@@ -34,13 +34,22 @@ from orderloom.plans.rollups import (
 from orderloom.schemas import CUSTOMER_COLUMNS, GEO_COLUMNS, PRIMARY_KEYS, PRODUCT_COLUMNS, WAREHOUSE_TABLES
 from orderloom.session import fresh_path, run_together
 from orderloom.sources.readers import read_raw_csv, read_tables
-from orderloom.sources.writers import append_batch, append_fact, export_refreshed, log_run, save_kpis, write_table
+from orderloom.sources.writers import (
+    append_fact,
+    export_refreshed,
+    log_run,
+    save_kpis,
+    write_batch,
+    write_orders,
+    write_table,
+)
 
 RUN_LOG_TABLE = "pipeline_runs"
 
 
 def build_warehouse(spark: SparkSession, lines: DataFrame, folder: str) -> dict[str, DataFrame]:
-    """First load. ``lines`` are wide clean order lines with customer and product columns."""
+    """First load; replaces what the folder holds. ``lines`` are wide clean order lines with customer
+    and product columns."""
     wide = _store_lines(spark, enrich_orders(date_parts(lines)), folder, 0)
     dims = st.build_dimensions(split_orders(wide), split_customers(wide), split_products(wide))
     run_together([*_writes(dims, folder), *_part_writes(wide, folder, 0)])
@@ -116,7 +125,7 @@ def run_kpis(spark: SparkSession, star: Mapping[str, DataFrame], folder: str) ->
 
 
 def _store_lines(spark: SparkSession, wide: DataFrame, folder: str, batch_id: int) -> DataFrame:
-    append_batch(wide, f"{folder}/lines", batch_id)
+    write_orders(wide, f"{folder}/lines", batch_id)
     stored = spark.read.parquet(f"{folder}/lines/batch_id={batch_id}")
     return stored.select(*wide.columns)
 
@@ -128,7 +137,7 @@ def _writes(tables: Mapping[str, DataFrame], folder: str) -> list[Callable[[], i
 def _part_writes(wide: DataFrame, folder: str, batch_id: int) -> list[Callable[[], int]]:
     """What the rollups need to know of a batch."""
     parts = {"rollup_cube": rollup_cube(wide), "supplier_products": supplier_product_pairs(wide)}
-    return [partial(write_table, df, f"{folder}/{name}/batch_id={batch_id}") for name, df in parts.items()]
+    return [partial(write_batch, df, f"{folder}/{name}", batch_id) for name, df in parts.items()]
 
 
 def _parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

@@ -109,20 +109,26 @@ def load_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], folder:
     return spark.createDataFrame(counts, "table_name string, n_rows bigint")
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> int:
-    """Write one batch of order rows and return their number.
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Iterable[str] = ()) -> int:
+    """Write one batch of a table that grows by batches and return its number of rows.
 
     A batch owns the folder ``batch_id=<n>``: writing it again replaces it, so a run that is
-    repeated after a failure never adds its rows twice. Below it rows are partitioned by
-    order year, so that a report on some years reads only those.
+    repeated after a failure never adds its rows twice. Batch 0 is the first load; it
+    replaces the whole table.
     """
-    year = F.year("order_date")
-    return write_table(df.withColumn(YEAR, year), f"{path}/batch_id={batch_id}", partition_by=[YEAR])
+    if batch_id == 0:
+        return write_table(df.withColumn("batch_id", F.lit(0)), path, partition_by=["batch_id", *partition_by])
+    return write_table(df, f"{path}/batch_id={batch_id}", partition_by=partition_by)
+
+
+def write_orders(df: DataFrame, path: str, batch_id: int) -> int:
+    """Write a batch of order rows, partitioned by order year: a report on some years reads only those."""
+    return write_batch(df.withColumn(YEAR, F.year("order_date")), path, batch_id, [YEAR])
 
 
 def append_fact(batch: DataFrame, path: str, batch_id: int) -> int:
-    """Append a batch of fact rows."""
-    return append_batch(batch.select(*[c for c in FACT_COLUMNS if c in batch.columns]), path, batch_id)
+    """Append a batch of fact rows (batch 0: replace the fact) and return the number inserted."""
+    return write_orders(batch.select(*[c for c in FACT_COLUMNS if c in batch.columns]), path, batch_id)
 
 
 def log_run(

@@ -84,6 +84,14 @@ def test_replayed_batch_adds_nothing(spark, lines, folder):
     assert after == before
 
 
+def test_loading_again_starts_afresh(spark, lines, folder):
+    before = {n: _rows(df) for n, df in warehouse.open_warehouse(spark, folder).items() if n != "lines"}
+    warehouse.append_lines(spark, folder, batches.shift_dates(lines.where("order_id % 2 = 1")), 1)
+    warehouse.build_warehouse(spark, lines.where("order_id % 2 = 0"), folder)
+    after = {n: _rows(df) for n, df in warehouse.open_warehouse(spark, folder).items() if n != "lines"}
+    assert after == before
+
+
 def test_first_load_cannot_be_overwritten_by_a_batch(spark, lines, folder):
     with pytest.raises(ValueError):
         warehouse.append_lines(spark, folder, lines, 0)
