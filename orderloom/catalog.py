@@ -79,14 +79,14 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse_of(spark, sf_dir)["lines"]
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw lines, written once per application: in production they are a given file."""
     return _stored(spark, sf_dir, "raw", lambda: testdata.raw_lines(spark, sf_dir))
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw lines cleaned; written once per application, because three tables are split off it."""
-    return _stored(spark, sf_dir, "lines-clean", lambda: clean.narrow_types(clean.clean_lines(_raw(spark, sf_dir))))
+    return _stored(spark, sf_dir, "lines-clean", lambda: clean.narrow_types(clean.clean_lines(raw_of(spark, sf_dir))))
 
 
 _paths: dict[tuple[str, str, str], str] = {}
@@ -169,7 +169,7 @@ query("dim_geography")(lambda spark, sf: star.dim_geography(_lines(spark, sf)))
 
 @query("fact_date_key")
 def _(spark, sf_dir):
-    dated = clean.rename_columns(clean.parse_dates(_raw(spark, sf_dir)))
+    dated = clean.rename_columns(clean.parse_dates(raw_of(spark, sf_dir)))
     return star.with_date_key(dated).select(*LINE, "date_id")
 
 
@@ -280,22 +280,22 @@ query("dq_fk_orphans")(_on_warehouse(quality.foreign_key_orphans))
 
 # ── profiling ──
 
-query("profile_columns")(lambda spark, sf: profile.profile_columns(_raw(spark, sf)))
-query("profile_domains")(lambda spark, sf: profile.profile_domains(_raw(spark, sf)))
+query("profile_columns")(lambda spark, sf: profile.profile_columns(raw_of(spark, sf)))
+query("profile_domains")(lambda spark, sf: profile.profile_domains(raw_of(spark, sf)))
 query("profile_business_stats")(lambda spark, sf: profile.business_stats(_cleaned(spark, sf)))
 query("profile_distinct_values")(lambda spark, sf: profile.distinct_values(_cleaned(spark, sf)))
-query("profile_nulls")(lambda spark, sf: profile.profile_nulls(_raw(spark, sf)))
+query("profile_nulls")(lambda spark, sf: profile.profile_nulls(raw_of(spark, sf)))
 query("profile_dates")(lambda spark, sf: profile.profile_dates(_cleaned(spark, sf)))
-query("domain_frames")(lambda spark, sf: profile.domain_frames(_raw(spark, sf))["orders"])
-query("domain_frames_customers")(lambda spark, sf: profile.domain_frames(_raw(spark, sf))["customers"])
-query("domain_frames_products")(lambda spark, sf: profile.domain_frames(_raw(spark, sf))["products"])
+query("domain_frames")(lambda spark, sf: profile.domain_frames(raw_of(spark, sf))["orders"])
+query("domain_frames_customers")(lambda spark, sf: profile.domain_frames(raw_of(spark, sf))["customers"])
+query("domain_frames_products")(lambda spark, sf: profile.domain_frames(raw_of(spark, sf))["products"])
 
 # ── cleaning ──
 
 
 @query("fill_numeric_median")
 def _(spark, sf_dir):
-    filled = clean.rename_columns(clean.fill_numeric_median(_raw(spark, sf_dir)))
+    filled = clean.rename_columns(clean.fill_numeric_median(raw_of(spark, sf_dir)))
     # Keys are not null; their widened type is only the type of a possible midpoint.
     keys = [F.col(c).cast("bigint").alias(c) for c in LINE]
     return filled.select(*keys, "quantity", "sales", "discount_rate", "profit", "days_shipping_real")
@@ -303,28 +303,28 @@ def _(spark, sf_dir):
 
 @query("fill_text_unknown")
 def _(spark, sf_dir):
-    filled = clean.rename_columns(clean.fill_text_unknown(_raw(spark, sf_dir)))
+    filled = clean.rename_columns(clean.fill_text_unknown(raw_of(spark, sf_dir)))
     return filled.select(*LINE, "order_city", "order_status", "customer_city")
 
 
 @query("parse_dates_lenient")
 def _(spark, sf_dir):
-    return clean.rename_columns(clean.parse_dates(_raw(spark, sf_dir))).select(*LINE, *RAW_DATES.values())
+    return clean.rename_columns(clean.parse_dates(raw_of(spark, sf_dir))).select(*LINE, *RAW_DATES.values())
 
 
 @query("date_parts")
 def _(spark, sf_dir):
-    dated = clean.date_parts(clean.parse_dates(_raw(spark, sf_dir)))
+    dated = clean.date_parts(clean.parse_dates(raw_of(spark, sf_dir)))
     parts = ["order_year", "order_month", "order_quarter", "order_dow"]
     return clean.rename_columns(dated).select(*LINE, *parts)
 
 
-query("rename_columns")(lambda spark, sf: clean.rename_columns(_raw(spark, sf)))
+query("rename_columns")(lambda spark, sf: clean.rename_columns(raw_of(spark, sf)))
 
 
 @query("standardize_text")
 def _(spark, sf_dir):
-    named = clean.rename_columns(_raw(spark, sf_dir))
+    named = clean.rename_columns(raw_of(spark, sf_dir))
     return clean.standardize_text(named).select(*LINE, *TEXT_COLUMNS)
 
 
@@ -344,7 +344,7 @@ def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
 @query("scan_raw_csv")
 def _(spark, sf_dir):
     path = fresh_path(spark, "raw-csv")
-    writers.write_csv(_raw(spark, sf_dir), path, options={"encoding": "ISO-8859-1"})
+    writers.write_csv(raw_of(spark, sf_dir), path, options={"encoding": "ISO-8859-1"})
     return clean.rename_columns(readers.read_raw_csv(spark, path))
 
 
