@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.text import whole_text
+from orderloom.llm.text import free_name, whole_text
 
 #: Rows that are numbered together inside a shard.
 ROWS_PER_RUN = 2048
@@ -68,24 +68,31 @@ def _children(tree: list[Shard]) -> list[list[tuple[str, float, int]]]:
     return nodes
 
 
-def shard_of(key: Column, tree: list[Shard]) -> Column:
-    """The shard of a key. Shards of weight 0 get nothing; the tree must hold some weight. Equal draws go to the first."""
-    nodes = F.array(
-        *[
-            F.array(*[F.struct(F.lit(p).alias("path"), F.lit(float(w)).alias("weight"), F.lit(n).alias("node")) for p, w, n in children])
-            for children in _children(tree)
-        ]
-    )
-
-    def draw(child: Column, place: Column) -> Column:
-        bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}"), child["path"], F.lit("/"), key)), 1, 13), 16, 10).cast("double")
-        value = -F.log((bits + F.lit(1.0)) / F.lit(float(1 << 52))) / child["weight"]
-        return F.struct(value.alias("value"), place.alias("place"), child["node"].alias("node"))
+def with_shard(df: DataFrame, key: str, tree: list[Shard], out: str) -> DataFrame:
+    """``df`` with the shard of the text column ``key`` in the column ``out``. A null key is the word null.
 
-    node = F.lit(0)
-    for _ in range(3):
-        node = F.array_min(F.transform(F.get(nodes, node), draw))["node"]
-    return node
+    Shards of weight 0 get nothing; the tree must hold some weight. Equal draws go to the first child. Each level is a
+    projection of its own, so only the draws of the chosen node's children are computed.
+    """
+    nodes = _children(tree)
+
+    def winner(children: list[tuple[str, float, int]]) -> str:
+        if len(children) == 1:
+            return str(children[0][2])
+        draws = []
+        for place, (path, weight, node) in enumerate(children):
+            text = f"{SEED}{path}/".replace("\\", "\\\\").replace("'", "\\'")
+            bits = f"cast(conv(substring(md5(concat('{text}', coalesce(`{key}`, 'null'))), 1, 13), 16, 10) AS double)"
+            draws.append(f"struct(-ln(({bits} + 1D) / {1 << 52}D) / {float(weight)!r}D AS value, {place} AS place, {node} AS node)")
+        return f"array_min(array({', '.join(draws)})).node"
+
+    at = free_name(df, f"{out}_node")
+    level = [0]
+    df = df.withColumn(at, F.expr(winner(nodes[0])))
+    for _ in range(2):
+        level = [child[2] for node in level for child in nodes[node]]
+        df = df.withColumn(at, F.expr(f"CASE `{at}` {' '.join(f'WHEN {n} THEN {winner(nodes[n])}' for n in level)} END"))
+    return df.withColumn(out, F.coalesce(F.col(at), F.lit(0))).drop(at)
 
 
 def assign(docs: DataFrame, tree: list[Shard], more: list[Shard] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -100,23 +107,22 @@ def assign(docs: DataFrame, tree: list[Shard], more: list[Shard] | None = None,
     rows in the runs before it. So no task holds a whole shard, whatever the ids are; rows of one repeated id are
     parted by their place in the input as well.
     """
-    n = docs.count()
-    count = len(tree)
-    runs = max(1, -(-n // (count * ROWS_PER_RUN)))
-    key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null"))
-    shard = shard_of(key, tree)
-    run = F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}/slot/"), key)), 1, 8), 16, 10).cast("long") % F.lit(runs)
-    rows = docs.select(
+    runs = max(1, -(-docs.count() // (len(tree) * ROWS_PER_RUN)))
+    number = F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}/slot/"), F.coalesce(F.col("key"), F.lit("null")))), 1, 8), 16, 10)
+
+    def placed(*more_columns: Column) -> DataFrame:
+        rows = docs.select(F.col(f"`{id_col}`").cast("string").alias("key"), *more_columns)
+        return with_shard(rows.withColumn("run", F.coalesce(number.cast("long") % F.lit(runs), F.lit(0))), "key", tree, "shard")
+
+    rows = placed(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         (F.octet_length(whole_text(text_col)) + F.lit(8)).cast("long").alias("size"),
         F.crc32(whole_text(text_col).cast("binary")).alias("text_crc32"),
-        shard.alias("shard"),
-        (shard_of(key, more) if more else F.lit(None).cast("int")).alias("grown_shard"),
-        run.alias("run"),
     )
+    rows = with_shard(rows, "key", more, "grown_shard") if more else rows.withColumn("grown_shard", F.lit(None).cast("int"))
     before = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (
-        docs.select(shard.alias("shard"), run.alias("run"))
+        placed()
         .groupBy("shard", "run")
         .agg(F.count(F.lit(1)).alias("rows_in_run"))
         .select("shard", "run", F.coalesce(F.sum("rows_in_run").over(before), F.lit(0)).alias("rows_before"))
