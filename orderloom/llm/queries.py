@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, langid, mixing, shard_tree
+from orderloom.llm import attribution, bpe, exact_dedup, langid, mixing, shard_tree, token_files
+from orderloom.llm.scratch import settle
 from orderloom.llm.text import id_crc
-from orderloom.session import tune
+from orderloom.session import fresh_path, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,7 +20,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: fn(tune(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: fn(settle(tune(spark)), sf_dir)
         if sql:
             ORACLES[name] = sql
         return fn
@@ -30,6 +32,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op2_chunked_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), tokenizer())
+
+
+@query("op3_rans_token_files")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.write(documents(spark, sf_dir), fresh_path(spark, "token-files"), tokenizer(), END_ID)
+    return token_files.read_digests(spark, folder)
+
+
+@query("op8_line_token_counts")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.section_tokens(documents(spark, sf_dir), tokenizer())
+
+
+#: The id that ends every document in token files.
+END_ID = 2
 #: 2 regions of 3 racks of 4 shards.
 TREE = shard_tree.even_tree(2, 3, 4)
 
