@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import attribution, bpe, exact_dedup, langid, mixing, shard_tree, token_files
+from orderloom.llm import attribution, bpe, exact_dedup, kneser_ney, langid, mixing, shard_tree, token_files
 from orderloom.llm.scratch import settle
 from orderloom.llm.text import id_crc
 from orderloom.session import fresh_path, tune
@@ -112,3 +112,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = id_crc("doc_id") % 4
     keep = (F.col("doc_id"), (fold == 2).alias("held_out"))
     return langid.identify(docs, fold != 2, keep=keep)
+
+
+@query("op10_kneser_ney_scores")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = id_crc("doc_id") % 10 == 0
+    model = kneser_ney.train(docs.where(~held_out))
+    return kneser_ney.score(docs, model, keep=(held_out.alias("held_out"),))
