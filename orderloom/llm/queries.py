@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import attribution, bpe, exact_dedup, kneser_ney, langid, mixing, shard_tree, token_files
+from orderloom.llm import attribution, bpe, edit_embedding, exact_dedup, kneser_ney, langid, mixing, shard_tree, token_files
 from orderloom.llm.scratch import settle
 from orderloom.llm.text import id_crc
 from orderloom.session import fresh_path, tune
@@ -36,6 +36,11 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_edit_fingerprints")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_embedding.fingerprint_edits(documents(spark, sf_dir))
+
+
 @query("op2_chunked_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), tokenizer())
