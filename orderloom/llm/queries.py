@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import attribution, bpe, edit_embedding, exact_dedup, kneser_ney, langid, mixing, shard_tree, token_files
+from orderloom.llm import attribution, bpe, edit_embedding, exact_dedup, kneser_ney, langid, mixing, ngram_join, shard_tree, token_files
 from orderloom.llm.scratch import settle
 from orderloom.llm.text import id_crc
 from orderloom.session import fresh_path, tune
@@ -125,3 +125,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_crc("doc_id") % 10 == 0
     model = kneser_ney.train(docs.where(~held_out))
     return kneser_ney.score(docs, model, keep=(held_out.alias("held_out"),))
+
+
+@query("op7_sparse_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(documents(spark, sf_dir), width=4, percent=85)
