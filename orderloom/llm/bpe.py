@@ -341,10 +341,11 @@ def decode(docs: DataFrame, tokenizer_path: str, ids_col: str = "ids", out: str
     return docs.withColumn(ids, given).drop(out).mapInArrow(run, plain.schema.add(out, "string"))
 
 
-def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For every row: ``doc_id, n_tokens, ids_sha256, decoded_sha256``, without keeping ids or texts.
+def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """For every row: ``doc_id, n_tokens, ids_sha256, decoded_sha256``, and ``ids`` (array of int) if asked for.
 
-    Digests are of the ids as little-endian unsigned 32-bit integers and of the decoded text in UTF-8.
+    Digests are of the ids as little-endian unsigned 32-bit integers and of the decoded text in UTF-8. A null text is the
+    empty text. An empty table gives no rows; other columns are not looked at; repeated rows are encoded each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,13 +356,12 @@ def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
             words = ids.astype("<u4")
             ids_digest = [hashlib.sha256(words[a:b]).hexdigest() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
             text_digest = [_digest(data[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [slab.column(0), pa.array(np.diff(first)), pa.array(ids_digest, pa.string()), pa.array(text_digest, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            columns = [slab.column(0), pa.array(np.diff(first)), pa.array(ids_digest, pa.string()), pa.array(text_digest, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            yield pa.RecordBatch.from_arrays([*columns, *([_lists(ids, first)] if with_ids else [])], names=[*names, *(["ids"] if with_ids else [])])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else ""))
 
 
 def _digest(part: np.ndarray) -> str:

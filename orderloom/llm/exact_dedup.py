@@ -154,11 +154,17 @@ def text_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of equal texts, one row with the largest id."""
-    mark, at = free_name(docs, "keep_mark"), free_name(docs, "keep_text")
+    """The rows of ``docs`` that stay, with all their columns: of equal texts, one row with the largest id.
+
+    The other columns are joined to the texts that the tables hold, so a text is shuffled twice, never compared twice. Of
+    null and empty texts one row stays, as it is.
+    """
+    top, digest, own, none = (free_name(docs, f"keep_{x}") for x in ("top", "digest", "text", "null"))
     groups = distinct_texts(docs, id_col, text_col, table_bytes)
-    kept = groups.select(F.nullif(F.col("top"), F.lit(LOWEST)).alias(mark), F.col("digest").alias(at))
-    same = docs[id_col].cast("long").eqNullSafe(F.col(mark)) & (F.unhex(F.sha2(whole_text(text_col).cast("binary"), 256)) == F.col(at))
-    found = docs.join(kept, same, "left_semi")
-    once = free_name(docs, "keep_once")
-    return found.withColumn(once, F.sha2(whole_text(text_col).cast("binary"), 256)).dropDuplicates([id_col, once]).drop(once)
+    texts = groups.select(F.nullif(F.col("top"), F.lit(LOWEST)).alias(top), F.col("digest").alias(digest), F.col("text").cast("string").alias(own))
+    sha, empty = free_name(docs, "keep_sha"), F.col(f"`{text_col}`").isNull().alias(none)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    rows = docs.select(*rest, empty, F.unhex(F.sha2(whole_text(text_col).cast("binary"), 256)).alias(sha)).dropDuplicates([id_col, sha])
+    found = rows.join(texts, rows[id_col].cast("long").eqNullSafe(F.col(top)) & (F.col(sha) == F.col(digest)))
+    whole = F.when(~F.col(none), F.col(own).cast(docs.schema[text_col].dataType)).alias(text_col)
+    return found.select(*[whole if c == text_col else F.col(f"`{c}`") for c in docs.columns])

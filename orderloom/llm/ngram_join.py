@@ -437,6 +437,9 @@ def drop_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(mark)).distinct()
     left = docs.join(dropped, docs[id_col].cast("long") == F.col(mark), "left_anti")
     sized = found.where("doc_id = component_id AND n_shingles > 0").groupBy(F.col("doc_id").alias(mark)).agg(F.count(F.lit(1)).alias(number)).where(F.col(number) > 1)
+    if sized.isEmpty():
+        return left
     # Only ids that are repeated need one of their rows chosen.
-    repeated = left.join(sized.select(mark), docs[id_col].cast("long") == F.col(mark), "left_semi").dropDuplicates([id_col])
-    return left.join(sized.select(mark), docs[id_col].cast("long") == F.col(mark), "left_anti").union(repeated)
+    same = docs[id_col].cast("long") == F.col(mark)
+    chosen = left.join(sized.select(mark), same, "left_semi").dropDuplicates([id_col])
+    return left.join(sized.select(mark), same, "left_anti").union(chosen)
