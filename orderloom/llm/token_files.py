@@ -32,8 +32,8 @@ BLOCK_NAMES = [c.split()[0] for c in BLOCK_SCHEMA.split(",")]
 PIECE_SCHEMA = "part int, block int, ordinal long, doc_id long, place int, n long, crc long"
 
 
-def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ids``: the ids of every whole text, with ``end_id`` after them, as little-endian unsigned 32-bit integers."""
+def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text", kind: str = "<u4") -> DataFrame:
+    """``doc_id, ids``: the ids of every whole text, with ``end_id`` after them, as unsigned integers of the numpy type ``kind``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bpe.piece_table(tokenizer_path)
@@ -42,8 +42,8 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: st
             if end_id is not None:
                 ids = np.insert(ids, first[1:], end_id)
                 first = first + np.arange(len(first))
-            data = pa.py_buffer(ids.astype("<u4").tobytes())
-            offsets = pa.py_buffer((4 * first).astype(np.int32).tobytes())
+            data = pa.py_buffer(ids.astype(kind).tobytes())
+            offsets = pa.py_buffer((np.dtype(kind).itemsize * first).astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [slab.column(0), pa.BinaryArray.from_buffers(pa.binary(), len(first) - 1, [None, offsets, data])], names=["doc_id", "ids"]
             )
@@ -52,18 +52,21 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: st
     return rows.mapInArrow(run, "doc_id long, ids binary")
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(0, np.int64)
-    for batch in batches:
-        ids = raw(batch.column(0))[0].view("<u4")
-        here = np.bincount(ids, minlength=len(counts))
-        here[: len(counts)] += counts
-        counts = here
-    some = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["token", "n"])
+def _count(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(0, np.int64)
+        for batch in batches:
+            ids = raw(batch.column(0))[0].view(kind)
+            here = np.bincount(ids, minlength=len(counts))
+            here[: len(counts)] += counts
+            counts = here
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["token", "n"])
+
+    return run
 
 
-def _coded(table: rans.Frequencies):
+def _coded(table: rans.Frequencies, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         ids, docs, counts, ordinal, block = [], [], [], 0, 0
@@ -71,7 +74,7 @@ def _coded(table: rans.Frequencies):
 
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal ids, docs, counts, held, block, ordinal
-            flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
+            flat = np.concatenate(ids) if ids else np.empty(0, kind)
             take = len(flat) if last else len(flat) // rans.BLOCK_IDS * rans.BLOCK_IDS
             rows, at, left = [], 0, list(counts)
             doc = 0
@@ -103,7 +106,7 @@ def _coded(table: rans.Frequencies):
         kinds = [pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 3, pa.int64(), pa.int64(), *[pa.binary()] * 3, pa.int64()]
         for batch in batches:
             data, offsets = raw(batch.column(1))
-            flat, offsets = data.view("<u4"), offsets // 4
+            flat, offsets = data.view(kind), offsets // np.dtype(kind).itemsize
             for i, doc in enumerate(batch.column(0).to_pylist()):
                 own = flat[offsets[i] : offsets[i + 1]]
                 ids.append(own.copy())
@@ -128,16 +131,18 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int | None,
     long as the vocabulary, whatever the corpus.
     """
     spark = docs.sparkSession
-    path = store(encoded(docs, tokenizer_path, end_id, id_col, text_col), "token-ids")
+    largest = max(len(bpe.token_table(tokenizer_path)[1]) - 2, end_id or 0)
+    kind = "<u2" if largest < 1 << 16 else "<u4"  # between the two passes, ids take as little room as they need
+    path = store(encoded(docs, tokenizer_path, end_id, id_col, text_col, kind), "token-ids")
     ids = spark.read.schema("doc_id long, ids binary").parquet(path)
-    counts = {r["token"]: r["n"] for r in ids.select("ids").mapInArrow(_count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()}
+    counts = {r["token"]: r["n"] for r in ids.select("ids").mapInArrow(_count(kind), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()}
     table = rans.frequencies(np.array([counts.get(i, 0) for i in range(max(counts, default=-1) + 1)], np.int64))
     shares = [(int(i), int(table.share[i])) for i in np.flatnonzero(table.share)]
     spark.createDataFrame([(-1, table.bits), *shares], "token int, share int").coalesce(1).write.parquet(f"{folder}/table")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids")]
     ranged = ids.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    ranged.mapInArrow(_coded(table), BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{folder}/blocks")
+    ranged.mapInArrow(_coded(table, kind), BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{folder}/blocks")
     remove(spark, path)
     return folder
 
