@@ -5,14 +5,16 @@ Results are published in plain types: money as double, dates as text.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from threading import RLock
 
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from orderloom import testdata
+from orderloom.functions.rounding import round_half_away
 from orderloom.operators import clean, derive, profile, quality, star
 from orderloom.plans import batches, checks, kpis, reports, rollups, warehouse
 from orderloom.schemas import (
@@ -21,7 +23,9 @@ from orderloom.schemas import (
     FACT_COLUMNS,
     FLAG_COLUMNS,
     ORDER_COLUMNS,
+    PROCESSED_TABLES,
     RAW_DATES,
+    REFRESHED_TABLES,
     TEXT_COLUMNS,
     WAREHOUSE_TABLES,
 )
@@ -197,7 +201,7 @@ def _(spark, sf_dir):
     text = {c: F.col(c).cast("string") for c in (*FLAG_COLUMNS, *AMOUNT_COLUMNS)}
     text["sales"] = F.when(F.col("order_id") % 97 == 0, "n/a").otherwise(text["sales"])
     text["profit"] = F.when(F.col("l_linenumber") != 7, text["profit"])
-    text["on_time_flag"] = F.when(F.col("order_id") % 89 == 0, "x").otherwise(text["on_time_flag"])
+    text["on_time_flag"] = F.when(F.col("order_id") % 89 == 0, "x").otherwise(F.concat(text["on_time_flag"], F.lit(".0")))
     text["is_cancelled"] = F.when(F.col("l_linenumber") != 3, text["is_cancelled"])
     return star.coerce_fact_types(lines.withColumns(text)).select(*LINE, *FLAG_COLUMNS, *AMOUNT_COLUMNS)
 
@@ -296,9 +300,9 @@ query("domain_frames_products")(lambda spark, sf: profile.domain_frames(raw_of(s
 @query("fill_numeric_median")
 def _(spark, sf_dir):
     filled = clean.rename_columns(clean.fill_numeric_median(raw_of(spark, sf_dir)))
-    # Keys are not null; their widened type is only the type of a possible midpoint.
-    keys = [F.col(c).cast("bigint").alias(c) for c in LINE]
-    return filled.select(*keys, "quantity", "sales", "discount_rate", "profit", "days_shipping_real")
+    # A count has the type of a possible midpoint only where it had nulls to fill.
+    days = F.col("days_shipping_real").cast("double").alias("days_shipping_real")
+    return filled.select(*LINE, F.col("quantity").cast("double").alias("quantity"), "sales", "discount_rate", "profit", days)
 
 
 @query("fill_text_unknown")
@@ -355,6 +359,8 @@ def _clean_csvs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 query("scan_clean_csv")(lambda spark, sf: _clean_csvs(spark, sf)["orders"].select(*ORDER_COLUMNS))
+query("scan_clean_csv_customers")(lambda spark, sf: _clean_csvs(spark, sf)["customers"])
+query("scan_clean_csv_products")(lambda spark, sf: _clean_csvs(spark, sf)["products"])
 query("parse_csv_timestamps")(lambda spark, sf: _clean_csvs(spark, sf)["orders"].select(*LINE, *RAW_DATES.values()))
 
 
@@ -376,6 +382,14 @@ def _(spark, sf_dir):
     return readers.read_processed(spark, _processed_folder(spark, sf_dir))["orders"].select(*ENRICHED_COLUMNS)
 
 
+def _processed(name: str) -> Query:
+    return lambda spark, sf_dir: readers.read_processed(spark, _processed_folder(spark, sf_dir))[name]
+
+
+for _name in PROCESSED_TABLES[1:]:
+    query(f"scan_processed_{_name}")(_processed(_name))
+
+
 @query("save_processed")
 def _(spark, sf_dir):
     folder = fresh_path(spark, "processed")
@@ -415,12 +429,22 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {**{n: w[n] for n in WAREHOUSE_TABLES}, "fact_orders": w["fact_orders"].select(*FACT_COLUMNS)}
 
 
-query("bi_export_all")(
-    lambda spark, sf: _exported(writers.export_csv(spark, _tables(spark, sf), fresh_path(spark, "export")))
-)
-query("bi_export_refresh")(
-    lambda spark, sf: _exported(writers.export_refreshed(spark, _tables(spark, sf), fresh_path(spark, "export")))
-)
+@query("bi_export_all")
+def _(spark, sf_dir):
+    """Status of every exported table, with what its files hold."""
+    folder = fresh_path(spark, "export")
+    status = _exported(writers.export_csv(spark, _tables(spark, sf_dir), folder))
+    held = _read_back_csv(spark, folder, WAREHOUSE_TABLES)
+    return status.select("table_name", "status").join(held, "table_name")
+
+
+
+def _read_back_csv(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
+    """Rows, columns and empty fields of exported files, read as text."""
+    read = spark.read.option("header", True).option("escape", '"').csv
+    return writers.readback({n: read(f"{folder}/{n}") for n in names})
+
+
 query("warehouse_load")(lambda spark, sf: writers.load_warehouse(spark, _tables(spark, sf), fresh_path(spark, "load")))
 
 
@@ -433,7 +457,6 @@ def _logged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query("run_log_append")(_logged_runs)
-query("run_history")(_logged_runs)
 
 # ── batches ──
 
@@ -461,14 +484,59 @@ def _(spark, sf_dir):
     )
 
 
-@query("daily_append_refresh")
-def _(spark, sf_dir):
-    folder = fresh_path(spark, "daily")
+def _after_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and revenue of the fact by year, and of all four rollups by their keys."""
+    w = warehouse.open_warehouse(spark, folder)
+    years = w["fact_orders"].groupBy("order_year").agg(F.count(F.lit(1)).alias("total_orders"), F.sum("sales").cast("double").alias("total_revenue"))
+    keys = {
+        "fact_orders": (years, ["order_year"]),
+        "kpi_monthly": (w["kpi_monthly"], rollups.MONTH_KEYS),
+        "kpi_regional": (w["kpi_regional"], rollups.REGION_KEYS),
+        "kpi_shipping": (w["kpi_shipping"], rollups.MODE_KEYS),
+        "supplier_metrics": (w["supplier_metrics"], rollups.SUPPLIER_KEYS),
+    }
+    found = None
+    for name, (rows, columns) in keys.items():
+        part = rows.select(
+            F.lit(name).alias("table_name"),
+            F.concat_ws("/", *[F.col(c).cast("string") for c in columns]).alias("key"),
+            F.col("total_orders").cast("bigint").alias("n_lines"),
+            round_half_away(F.col("total_revenue"), 2).alias("revenue"),
+        )
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A warehouse after one daily batch, and its export folder."""
+    folder, export = fresh_path(spark, "daily"), fresh_path(spark, "export")
     warehouse.build_warehouse(spark, testdata.order_lines(spark, sf_dir), folder)
     existing = spark.read.parquet(f"{folder}/fact_orders")
     new = batches.assign_next_keys(_new_lines(spark, sf_dir), existing)
-    warehouse.run_daily(spark, folder, new, 1, fresh_path(spark, "export"))
-    return spark.read.parquet(f"{folder}/kpi_monthly")
+    warehouse.run_daily(spark, folder, new, 1, export)
+    return folder, export
+
+
+query("daily_append_refresh")(lambda spark, sf: _after_append(spark, _daily(spark, sf)[0]))
+
+
+@query("bi_export_refresh")
+def _(spark, sf_dir):
+    """What the daily run exports, read back: the new batch's fact rows and the refreshed figures."""
+    return _read_back_csv(spark, _daily(spark, sf_dir)[1], REFRESHED_TABLES)
+
+
+@query("run_history")
+def _(spark, sf_dir):
+    """Newest first, after a daily run and one that is refused for its types."""
+    folder, _ = _daily(spark, sf_dir)
+    bad = _new_lines(spark, sf_dir).withColumn("sales", F.lit("n/a"))
+    try:
+        warehouse.run_daily(spark, folder, bad, 2, None)
+    except (AnalysisException, SparkRuntimeException, ValueError):
+        pass  # it is in the log
+    log = readers.run_history(spark, f"{folder}/{warehouse.RUN_LOG_TABLE}")
+    return log.select("run_id", "status", "rows_processed", "rows_inserted", "source_table", F.col("error_message").isNotNull().cast("int").alias("failed"))
 
 
 @query("stream_append_refresh")
@@ -480,9 +548,4 @@ def _(spark, sf_dir):
     _new_lines(spark, sf_dir).write.parquet(incoming)
     for _ in range(2):
         append_new_files(spark, incoming, lines.schema, folder, checkpoint).awaitTermination()
-    return spark.read.parquet(f"{folder}/kpi_regional")
-
-
-@query("bootstrap_sample")
-def _(spark, sf_dir):
-    return batches.bootstrap_sample(_lines(spark, sf_dir).select(*LINE, "sales"), 500, seed=7)
+    return _after_append(spark, folder)

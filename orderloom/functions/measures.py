@@ -207,9 +207,25 @@ def finish(folded: DataFrame, keys: Sequence[str] | Mapping[str, str], measures:
     )
 
 
+def distinct_count(df: DataFrame, col: str) -> Column:
+    """Number of different non-null values of one column, as a one-row subquery.
+
+    Several distinct counts in one aggregate would repeat every row for each of them; a subquery reads its own column
+    only.
+    """
+    values = df.select(F.col(col).alias("value")).where("value IS NOT NULL").distinct()
+    return values.agg(F.count(F.lit(1)).alias("n")).scalar()
+
+
 def summarize(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    """Group once and compute the measures."""
-    return finish(fold(df, keys, measures), keys, measures)
+    """Group once and compute the measures; over the whole table, several distinct counts are each counted by themselves."""
+    apart = {p.name: p for m in measures for p in m.parts if p.kind == "distinct"}
+    if keys or len(apart) < 2:
+        return finish(fold(df, keys, measures), keys, measures)
+    rest = [m for m in measures if not any(p.kind == "distinct" for p in m.parts)]
+    row = fold(df, [], rest) if rest else df.agg(F.count(F.lit(1)).alias("_n"))
+    counts = {name: distinct_count(df, name.removeprefix("distinct_")) for name in apart}
+    return finish(row.withColumns(counts), keys, measures)
 
 
 def fold_through(

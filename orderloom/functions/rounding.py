@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 def round_half_away(x: Column, places: int) -> Column:
     """Round a double half away from zero; never yields -0.0."""
     scale = F.lit(10.0**places)
-    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale + F.lit(0.0)
+    # From 2^53 on, a double has no digits to round away, and floor would not fit a bigint.
+    rounded = F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale + F.lit(0.0)
+    return F.when(F.abs(x) * scale >= F.lit(2.0**53), x.cast("double")).otherwise(rounded)
 
 
 def round_exact(x: Column, places: int) -> Column:

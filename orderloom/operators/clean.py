@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, IntegralType, NumericType, StringType
+from pyspark.sql.types import ByteType, DataType, DecimalType, IntegerType, IntegralType, NumericType, ShortType, StringType
 
 from orderloom.functions.dates import day_name, parse_timestamp
 from orderloom.functions.text import standard_text
 from orderloom.operators.derive import order_flags
 from orderloom.operators.keys import keep_first
-from orderloom.operators.median import approximate_medians, exact_medians
+from orderloom.operators.median import approximate_medians, median_values
 from orderloom.schemas import (
     COLUMN_TYPES,
     CUSTOMER_COLUMNS,
@@ -38,27 +38,30 @@ def text_columns(df: DataFrame) -> list[str]:
 def fill_numeric_median(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Null numbers become the median of their column; an all-null column stays null.
 
-    Integer and decimal columns widen by one decimal place, so that a midpoint fits exactly.
+    Only columns with nulls change. Of those, integer and decimal columns widen by one decimal place, so that
+    a midpoint fits exactly, and by as many digits as that takes.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
     if not columns:
         return df
-    medians = exact_medians(df, columns, incomplete_only=True) if exact else approximate_medians(df, columns)
-    # One row: the medians side by side, read as one scalar subquery in one column.
-    wide = medians.agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in columns])
-    with_medians = df.withColumn("_median", wide.select(F.struct(*columns)).scalar())
+    if exact:
+        medians = median_values(df, columns, incomplete_only=True)
+    else:
+        medians = {r["column"]: r["median"] for r in approximate_medians(df, columns).collect()}
     filled = {}
-    for c in columns:
-        target = _with_midpoint(df.schema[c].dataType)
-        filled[c] = F.coalesce(F.col(c).cast(target), F.col("_median")[c].cast(target))
-    return with_medians.withColumns(filled).drop("_median")
+    for c, median in medians.items():
+        if median is not None:
+            target = _with_midpoint(df.schema[c].dataType)
+            filled[c] = F.coalesce(F.col(f"`{c}`").cast(target), F.lit(median).cast(target))
+    return df.withColumns(filled) if filled else df
 
 
 def _with_midpoint(dtype: DataType) -> DataType:
+    """A type that holds all values of the given one, and halves of them."""
     if isinstance(dtype, IntegralType):
-        return DecimalType(18, 1)
-    if isinstance(dtype, DecimalType):
-        return DecimalType(min(max(dtype.precision + 1, 18), 38), dtype.scale + 1)
+        return DecimalType({ByteType: 4, ShortType: 6, IntegerType: 11}.get(type(dtype), 20), 1)
+    if isinstance(dtype, DecimalType) and dtype.precision < 38:
+        return DecimalType(dtype.precision + 1, dtype.scale + 1)
     return dtype
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType
 
 from orderloom.functions.measures import mean, money, summarize
 from orderloom.functions.rounding import round_half_away
@@ -47,9 +46,8 @@ def revenue_at_risk(df: DataFrame) -> DataFrame:
 
 
 def cost_per_order(df: DataFrame) -> DataFrame:
-    """List price times quantity minus profit, kept in 18 digits so that its sums stay cheap."""
-    cost = F.col("unit_price") * F.col("quantity") - F.col("profit")
-    return df.withColumn("cost_per_order", cost.cast(_wider(df, "unit_price", "profit")))
+    """List price times quantity minus profit, in as many digits as the product needs."""
+    return df.withColumn("cost_per_order", F.col("unit_price") * F.col("quantity") - F.col("profit"))
 
 
 def perfect_order(df: DataFrame) -> DataFrame:
@@ -100,10 +98,3 @@ def derived_summary(df: DataFrame) -> DataFrame:
 def _flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it fails or is unknown."""
     return F.when(condition, 1).otherwise(0)
-
-
-def _wider(df: DataFrame, *columns: str) -> DataType:
-    types = [df.schema[c].dataType for c in columns]
-    if all(isinstance(t, DecimalType) for t in types):
-        return DecimalType(18, max(t.scale for t in types))
-    return next(t for t in types if not isinstance(t, DecimalType))

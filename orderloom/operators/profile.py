@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
+from orderloom.functions.measures import distinct_count
 from orderloom.functions.rounding import round_exact, round_half_away
-from orderloom.operators.clean import fill_nulls
 from orderloom.operators.keys import keep_first
 
 
@@ -146,12 +146,12 @@ def profile_domains(df: DataFrame) -> DataFrame:
 def business_stats(lines: DataFrame) -> DataFrame:
     """Headline figures of clean lines, one row; dates compare as dates, not as text."""
     return lines.agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("total_customers"),
-        F.count_distinct("product_id").alias("total_products"),
-        F.count_distinct("category").alias("total_categories"),
-        F.count_distinct("market").alias("markets"),
-        F.count_distinct("order_region").alias("order_regions"),
+        distinct_count(lines, "order_id").alias("total_orders"),
+        distinct_count(lines, "customer_id").alias("total_customers"),
+        distinct_count(lines, "product_id").alias("total_products"),
+        distinct_count(lines, "category").alias("total_categories"),
+        distinct_count(lines, "market").alias("markets"),
+        distinct_count(lines, "order_region").alias("order_regions"),
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("last_order"),
         round_exact(F.sum("sales"), 2).alias("total_revenue"),
@@ -188,12 +188,21 @@ def null_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def profile_nulls(df: DataFrame, exact: bool = True) -> DataFrame:
-    """Columns that have nulls: how many, what share, and how many are left after filling."""
-    before = null_counts(df).where("nulls > 0")
-    after = null_counts(fill_nulls(df, exact)).select("column", F.col("nulls").alias("nulls_after_fill"))
-    return before.join(after, "column").select(
-        "column", "nulls", _percent(F.col("nulls"), F.col("rows")).alias("null_pct"), "nulls_after_fill"
+def profile_nulls(df: DataFrame) -> DataFrame:
+    """Columns that have nulls: how many, what share, and how many are left after filling.
+
+    What is left follows from the count: filling leaves no null in text, and none in a number column but one that holds
+    nothing else; columns of other types are not filled.
+    """
+    left = {f.name: "number" if isinstance(f.dataType, NumericType) else "text" if isinstance(f.dataType, StringType) else "other" for f in df.schema.fields}
+    kind = F.element_at(F.create_map(*[F.lit(x) for pair in left.items() for x in pair]), F.col("column"))
+    after = (
+        F.when(kind == "other", F.col("nulls"))
+        .when((kind == "number") & (F.col("nulls") == F.col("rows")), F.col("rows"))
+        .otherwise(F.lit(0))
+    )
+    return null_counts(df).where("nulls > 0").select(
+        "column", "nulls", _percent(F.col("nulls"), F.col("rows")).alias("null_pct"), after.cast("bigint").alias("nulls_after_fill")
     )
 
 

@@ -6,11 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegralType, StringType
 
 from orderloom.functions.dates import date_key, day_name, is_weekend, month_name
 from orderloom.operators.keys import keep_first, number_rows
-from orderloom.schemas import AMOUNT_COLUMNS, FACT_COLUMNS, FLAG_COLUMNS, GEO_COLUMNS, MONEY
+from orderloom.schemas import AMOUNT_COLUMNS, ANY_NUMBER, FACT_COLUMNS, FLAG_COLUMNS, GEO_COLUMNS, MONEY
 
 Tables = Mapping[str, DataFrame]
 
@@ -104,11 +104,12 @@ def with_geo_key(orders: DataFrame, geography: DataFrame) -> DataFrame:
 
 
 def coerce_fact_types(df: DataFrame) -> DataFrame:
-    """Flags and amounts become numbers; unreadable and missing ones become 0."""
+    """Flags and amounts become numbers; unreadable and missing ones become 0. A flag may be written ``1.0``."""
     fixed = {}
     for c in FLAG_COLUMNS:
         if c in df.columns:
-            fixed[c] = F.coalesce(F.col(c).try_cast("int"), F.lit(0))
+            number = F.col(c) if isinstance(df.schema[c].dataType, IntegralType) else F.col(c).try_cast(ANY_NUMBER)
+            fixed[c] = F.coalesce(number.try_cast("int"), F.lit(0))
     for c in AMOUNT_COLUMNS:
         if c in df.columns:
             dtype = df.schema[c].dataType

@@ -24,10 +24,12 @@ from orderloom.functions.measures import (
 )
 from orderloom.functions.rounding import round_half_away
 from orderloom.operators.star import star_join
-from orderloom.schemas import YEAR
+from orderloom.schemas import FACT_COLUMNS, YEAR
 
 Star = Mapping[str, DataFrame]
 
+#: The table of fact rows with all report attributes, written once for each batch.
+REPORT_BASE = "report_base"
 FILTERS = ("year", "market", "segment", "category")
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
@@ -50,15 +52,19 @@ def report_filter(
 
 
 def report_base(star: Star, attributes: Sequence[str] = (), **choices) -> DataFrame:
-    """Filtered star join with the filter columns and the attributes a page uses.
+    """Filtered report rows with the filter columns and the attributes a page uses.
 
-    A stored fact is partitioned by order year, so chosen years are also asked of the fact
-    itself and other years are not read at all.
+    A stored warehouse holds the joined rows, see ``REPORT_BASE``; pages then scan the columns they use, without a
+    join. Stored rows are partitioned by order year, so chosen years are also asked of the table
+    itself and other years are not read at all. Without the stored table the star is joined here.
     """
-    fact, years = star["fact_orders"], choices.get("years")
-    if years and YEAR in fact.columns:
-        star = {**star, "fact_orders": fact.where(F.col(YEAR).isin(*years))}
-    return report_filter(star_join(star, [*FILTERS, *attributes]), **choices)
+    name = REPORT_BASE if REPORT_BASE in star else "fact_orders"
+    rows, years = star[name], choices.get("years")
+    if years and YEAR in rows.columns:
+        rows = rows.where(F.col(YEAR).isin(*years))
+    if name == REPORT_BASE:
+        return report_filter(rows, **choices).select(*FACT_COLUMNS, *FILTERS, *[a for a in attributes if a not in FILTERS])
+    return report_filter(star_join({**star, name: rows}, [*FILTERS, *attributes]), **choices)
 
 
 def filter_options(star: Star) -> DataFrame:

@@ -24,6 +24,7 @@ from orderloom.operators.clean import clean_lines, date_parts, narrow_types, spl
 from orderloom.operators.derive import enrich_orders
 from orderloom.operators.keys import number_rows
 from orderloom.plans import kpis
+from orderloom.plans.reports import REPORT_BASE, report_filter
 from orderloom.plans.rollups import (
     refreshed_from_cube,
     rollup_cube,
@@ -32,12 +33,14 @@ from orderloom.plans.rollups import (
     supplier_product_pairs,
 )
 from orderloom.schemas import CUSTOMER_COLUMNS, GEO_COLUMNS, PRIMARY_KEYS, PRODUCT_COLUMNS, WAREHOUSE_TABLES
-from orderloom.session import fresh_path, run_together
-from orderloom.sources.readers import read_raw_csv, read_tables
+from orderloom.session import drop_path, fresh_path, run_together
+from orderloom.sources.readers import read_raw_csv, read_raw_text, read_tables, unreadable_numbers
 from orderloom.sources.writers import (
+    FIRST_BATCH,
     append_fact,
     export_refreshed,
     log_run,
+    replace_table,
     save_kpis,
     write_batch,
     write_orders,
@@ -50,54 +53,76 @@ RUN_LOG_TABLE = "pipeline_runs"
 def build_warehouse(spark: SparkSession, lines: DataFrame, folder: str) -> dict[str, DataFrame]:
     """First load; replaces what the folder holds. ``lines`` are wide clean order lines with customer
     and product columns."""
-    wide = _store_lines(spark, enrich_orders(date_parts(lines)), folder, 0)
+    wide = _store_lines(spark, enrich_orders(date_parts(lines)), folder, FIRST_BATCH)
     dims = st.build_dimensions(split_orders(wide), split_customers(wide), split_products(wide))
-    run_together([*_writes(dims, folder), *_part_writes(wide, folder, 0)])
+    run_together([*_writes(dims, folder), *_part_writes(wide, folder, FIRST_BATCH)])
     stored = read_tables(spark, folder, PRIMARY_KEYS)
     fact = st.build_fact(wide, stored["dim_suppliers"], stored["dim_geography"])
     rollup_tables = rollups_from_cube(*_parts(spark, folder))
-    run_together([lambda: append_fact(fact, f"{folder}/fact_orders", 0), *_writes(rollup_tables, folder)])
+    run_together([lambda: append_fact(fact, f"{folder}/fact_orders", FIRST_BATCH), *_writes(rollup_tables, folder)])
+    _store_report_base(spark, folder, FIRST_BATCH)
     return open_warehouse(spark, folder)
 
 
 def open_warehouse(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The tables of a written warehouse, and the wide ``lines`` they came from."""
-    return read_tables(spark, folder, [*WAREHOUSE_TABLES, "lines"])
+    """The tables of a written warehouse, the wide ``lines`` they came from, and the ``report_base``."""
+    return read_tables(spark, folder, [*WAREHOUSE_TABLES, "lines", REPORT_BASE])
 
 
-def append_lines(spark: SparkSession, folder: str, batch: DataFrame, batch_id: int) -> tuple[int, int]:
-    """Add one batch of order lines to a warehouse and refresh its rollups.
+def append_lines(spark: SparkSession, folder: str, batch: DataFrame, batch_id: str) -> tuple[int, int]:
+    """Add one batch of order lines to a warehouse and bring its rollups up to date.
 
     All derived columns and keys are computed for the new lines; days, places, suppliers,
     customers and products that are new get their dimension rows. Returns (rows read, rows
     added to the fact). Work grows with the batch, not with the fact: the rollups are
-    merged from the cubes of all batches. Repeating a batch id replaces that batch.
+    merged from the cubes of all batches. Repeating a batch id replaces that batch. Lines of types
+    that the stored ones cannot hold are refused before anything is written.
     """
-    if batch_id < 1:
-        raise ValueError("batch 0 is the first load")
+    if not isinstance(batch_id, str) or batch_id.isdigit():
+        raise ValueError("a batch id names its source, such as daily-7; number 0 is the first load")
     wide = _store_lines(spark, enrich_orders(date_parts(batch)), folder, batch_id)
     _extend_dimensions(spark, wide, folder)
     stored = read_tables(spark, folder, ["dim_suppliers", "dim_geography"])
     fact = st.build_fact(wide, stored["dim_suppliers"], stored["dim_geography"])
     append = [lambda: append_fact(fact, f"{folder}/fact_orders", batch_id)]
     added = run_together([*append, *_part_writes(wide, folder, batch_id)])[0]
-    run_together(_writes(refreshed_from_cube(*_parts(spark, folder)), folder))
+    _store_report_base(spark, folder, batch_id)
+    fresh = rollups_from_cube(*_parts(spark, folder))
+    run_together([partial(replace_table, df, f"{folder}/{name}") for name, df in fresh.items()])
     return wide.count(), added
 
 
-def run_daily(spark: SparkSession, folder: str, batch: DataFrame, batch_id: int, export_folder: str) -> None:
-    """Append, refresh, export, log. A failure is logged as FAILED and raised again."""
+def run_batch(spark: SparkSession, folder: str, batch: DataFrame, batch_id: str, export_folder: str | None) -> None:
+    """Append, refresh, export, log. A failure is logged as FAILED and raised again.
+
+    Exported are the new batch's fact rows and the refreshed monthly and regional figures.
+    """
     started, log = time.monotonic(), f"{folder}/{RUN_LOG_TABLE}"
     read = added = 0
     try:
         read, added = append_lines(spark, folder, batch, batch_id)
-        export_refreshed(spark, open_warehouse(spark, folder), export_folder)
+        if export_folder:
+            new = spark.read.parquet(f"{folder}/fact_orders/batch_id={batch_id}")
+            export_refreshed(spark, {"fact_orders": new, **refreshed_from_cube(*_parts(spark, folder))}, export_folder)
     except Exception as e:
-        log_run(spark, log, "FAILED", read, added, "fact_orders", time.monotonic() - started, str(e)[:500])
+        log_run(spark, log, "FAILED", read, added, "fact_orders", time.monotonic() - started, str(e))
         raise
     log_run(spark, log, "SUCCESS", read, added, "fact_orders", time.monotonic() - started)
 
 
+def run_daily(spark: SparkSession, folder: str, batch: DataFrame, batch_id: int, export_folder: str | None) -> None:
+    """The daily cycle over clean order lines."""
+    run_batch(spark, folder, batch, f"daily-{batch_id}", export_folder)
+
+
+def run_daily_file(spark: SparkSession, folder: str, raw_path: str, batch_id: int, export_folder: str | None) -> None:
+    """The daily cycle from a raw CSV file: read, clean, append, refresh, export, log."""
+    aside = fresh_path(spark, "daily-lines")
+    write_table(narrow_types(clean_lines(read_raw_csv(spark, raw_path))), aside)
+    run_daily(spark, folder, spark.read.parquet(aside), batch_id, export_folder)
+    drop_path(spark, aside)
+
+
 def processed_tables(lines: DataFrame) -> dict[str, DataFrame]:
     """Enriched orders, customers, products and the four rollups, from wide clean lines."""
     orders = enrich_orders(split_orders(lines))
@@ -110,7 +135,8 @@ def processed_tables(lines: DataFrame) -> dict[str, DataFrame]:
 
 
 def run_etl(spark: SparkSession, raw_path: str, folder: str) -> dict[str, DataFrame]:
-    """Raw CSV to warehouse."""
+    """Raw CSV to warehouse. Fields that hold something but no number are counted in ``unreadable_numbers``."""
+    write_table(unreadable_numbers(read_raw_text(spark, raw_path)), f"{folder}/unreadable_numbers")
     write_table(narrow_types(clean_lines(read_raw_csv(spark, raw_path))), f"{folder}/lines_clean")
     return build_warehouse(spark, spark.read.parquet(f"{folder}/lines_clean"), folder)
 
@@ -121,10 +147,22 @@ def run_kpis(spark: SparkSession, star: Mapping[str, DataFrame], folder: str) ->
 
     folded = kpis.shared_parts(star)
     run_together(_writes(folded, parts))
-    return save_kpis(kpis.results_from_parts(read_tables(spark, parts, folded)), folder)
+    saved = save_kpis(kpis.results_from_parts(read_tables(spark, parts, folded)), folder)
+    drop_path(spark, parts)
+    return saved
+
+
+def _store_report_base(spark: SparkSession, folder: str, batch_id: int | str) -> None:
+    """The report base of one batch: its fact rows joined to all dimensions once, for every page to read.
+
+    Rows without a year, market, segment or category pass no report filter and are left out.
+    """
+    star = read_tables(spark, folder, PRIMARY_KEYS)
+    star["fact_orders"] = spark.read.parquet(f"{folder}/fact_orders/batch_id={batch_id}")
+    write_orders(report_filter(st.star_join(star)), f"{folder}/{REPORT_BASE}", batch_id)
 
 
-def _store_lines(spark: SparkSession, wide: DataFrame, folder: str, batch_id: int) -> DataFrame:
+def _store_lines(spark: SparkSession, wide: DataFrame, folder: str, batch_id: int | str) -> DataFrame:
     write_orders(wide, f"{folder}/lines", batch_id)
     stored = spark.read.parquet(f"{folder}/lines/batch_id={batch_id}")
     return stored.select(*wide.columns)
@@ -134,7 +172,7 @@ def _writes(tables: Mapping[str, DataFrame], folder: str) -> list[Callable[[], i
     return [partial(write_table, df, f"{folder}/{name}") for name, df in tables.items()]
 
 
-def _part_writes(wide: DataFrame, folder: str, batch_id: int) -> list[Callable[[], int]]:
+def _part_writes(wide: DataFrame, folder: str, batch_id: int | str) -> list[Callable[[], int]]:
     """What the rollups need to know of a batch."""
     parts = {"rollup_cube": rollup_cube(wide), "supplier_products": supplier_product_pairs(wide)}
     return [partial(write_batch, df, f"{folder}/{name}", batch_id) for name, df in parts.items()]
@@ -167,6 +205,7 @@ def _extend_dimensions(spark: SparkSession, wide: DataFrame, folder: str) -> Non
         aside = fresh_path(spark, f"new-{name}")
         if write_table(rows, aside):
             write_table(spark.read.parquet(aside).select(*dims[name].columns), f"{folder}/{name}", mode="append")
+        drop_path(spark, aside)
 
     run_together([partial(extend, name, rows) for name, rows in new.items()])
 

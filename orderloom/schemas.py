@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     DataType,
+    DateType,
     DecimalType,
     DoubleType,
     IntegerType,
@@ -14,8 +15,11 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# Money arrives as text with up to nine decimals; 18 digits keep it a compact long in Spark.
-MONEY = DecimalType(18, 8)
+# Money arrives as text with up to nine decimals; 16 digits before the point hold any amount, and price times
+# quantity minus profit still fits 38 digits without loss. A number that doesn't fit is an error, never a null.
+MONEY = DecimalType(25, 9)
+# Any number as text, before it is known to be whole.
+ANY_NUMBER = DecimalType(38, 9)
 PERCENT = DecimalType(18, 2)
 
 # Raw file header -> column name.
@@ -154,28 +158,108 @@ AMOUNT_COLUMNS = (
     "item_total",
 )
 
+# Columns in their order.
 ORDER_COLUMNS = (
-    "order_id order_item_id customer_id product_id order_date ship_date order_year order_month "
-    "order_quarter order_dow order_status shipping_mode delivery_status late_delivery_risk "
-    "days_shipping_real days_shipping_scheduled delivery_delay_days on_time_flag sales quantity "
-    "discount discount_rate unit_price profit_ratio profit item_total profit_margin_pct is_cancelled "
-    "is_fulfilled revenue_at_risk cost_per_order market order_region order_country order_city "
-    "order_state payment_type department_id department_name"
-).split()
+    "order_id",
+    "order_item_id",
+    "customer_id",
+    "product_id",
+    "order_date",
+    "ship_date",
+    "order_year",
+    "order_month",
+    "order_quarter",
+    "order_dow",
+    "order_status",
+    "shipping_mode",
+    "delivery_status",
+    "late_delivery_risk",
+    "days_shipping_real",
+    "days_shipping_scheduled",
+    "delivery_delay_days",
+    "on_time_flag",
+    "sales",
+    "quantity",
+    "discount",
+    "discount_rate",
+    "unit_price",
+    "profit_ratio",
+    "profit",
+    "item_total",
+    "profit_margin_pct",
+    "is_cancelled",
+    "is_fulfilled",
+    "revenue_at_risk",
+    "cost_per_order",
+    "market",
+    "order_region",
+    "order_country",
+    "order_city",
+    "order_state",
+    "payment_type",
+    "department_id",
+    "department_name",
+)
 ENRICHED_COLUMNS = [*ORDER_COLUMNS, "perfect_order_flag", "processing_days", "order_week"]
+# Columns in their order.
 CUSTOMER_COLUMNS = (
-    "customer_id first_name last_name email segment customer_city customer_state customer_country zipcode"
-).split()
+    "customer_id",
+    "first_name",
+    "last_name",
+    "email",
+    "segment",
+    "customer_city",
+    "customer_state",
+    "customer_country",
+    "zipcode",
+)
+# Columns in their order.
 PRODUCT_COLUMNS = (
-    "product_id product_name category category_id product_price product_status department_id department_name"
-).split()
+    "product_id",
+    "product_name",
+    "category",
+    "category_id",
+    "product_price",
+    "product_status",
+    "department_id",
+    "department_name",
+)
+# Columns in their order.
 FACT_COLUMNS = (
-    "order_id order_item_id customer_id product_id supplier_id date_id geo_id order_date ship_date "
-    "order_status shipping_mode delivery_status late_delivery_risk payment_type days_shipping_real "
-    "days_shipping_scheduled delivery_delay_days processing_days on_time_flag is_cancelled is_fulfilled "
-    "perfect_order_flag sales quantity discount discount_rate unit_price profit_ratio profit item_total "
-    "profit_margin_pct cost_per_order revenue_at_risk"
-).split()
+    "order_id",
+    "order_item_id",
+    "customer_id",
+    "product_id",
+    "supplier_id",
+    "date_id",
+    "geo_id",
+    "order_date",
+    "ship_date",
+    "order_status",
+    "shipping_mode",
+    "delivery_status",
+    "late_delivery_risk",
+    "payment_type",
+    "days_shipping_real",
+    "days_shipping_scheduled",
+    "delivery_delay_days",
+    "processing_days",
+    "on_time_flag",
+    "is_cancelled",
+    "is_fulfilled",
+    "perfect_order_flag",
+    "sales",
+    "quantity",
+    "discount",
+    "discount_rate",
+    "unit_price",
+    "profit_ratio",
+    "profit",
+    "item_total",
+    "profit_margin_pct",
+    "cost_per_order",
+    "revenue_at_risk",
+)
 
 # Storage column of batches of order rows; not part of any table's contract.
 YEAR = "order_year"
@@ -200,39 +284,126 @@ WAREHOUSE_TABLES = (*PRIMARY_KEYS, "fact_orders", *ROLLUP_TABLES)
 PROCESSED_TABLES = ("orders", "customers", "products", *ROLLUP_TABLES)
 REFRESHED_TABLES = ("fact_orders", "kpi_monthly", "kpi_regional")
 
-_MONTH_FIGURES = (
-    "total_orders total_revenue total_profit avg_delay_days on_time_rate avg_profit_margin cancelled_orders "
-    "fulfilled_orders perfect_orders revenue_at_risk avg_cost_per_order cancellation_rate_pct fulfillment_rate_pct "
-    "perfect_order_rate_pct on_time_rate_pct"
-)
-# Columns of the warehouse tables after a first load. The daily refresh publishes kpi_monthly and
-# kpi_regional without the columns of REFRESH_DROPS.
-TABLE_COLUMNS: dict[str, list[str]] = {
+# Columns of the warehouse tables. The daily refresh publishes kpi_monthly and kpi_regional without
+# the columns of REFRESH_DROPS.
+TABLE_COLUMNS: dict[str, tuple[str, ...]] = {
     "dim_customers": CUSTOMER_COLUMNS,
     "dim_products": PRODUCT_COLUMNS,
-    "dim_suppliers": "supplier_id department_id department_name".split(),
-    "dim_date": "date_id date year month month_name quarter week day_of_week is_weekend".split(),
-    "dim_geography": ["geo_id", *GEO_COLUMNS],
+    "dim_suppliers": (
+        "supplier_id",
+        "department_id",
+        "department_name",
+    ),
+    "dim_date": (
+        "date_id",
+        "date",
+        "year",
+        "month",
+        "month_name",
+        "quarter",
+        "week",
+        "day_of_week",
+        "is_weekend",
+    ),
+    "dim_geography": ("geo_id", *GEO_COLUMNS),
     "fact_orders": FACT_COLUMNS,
-    "kpi_monthly": ["order_year", "order_month", *_MONTH_FIGURES.split()],
+    "kpi_monthly": (
+        "order_year",
+        "order_month",
+        "total_orders",
+        "total_revenue",
+        "total_profit",
+        "avg_delay_days",
+        "on_time_rate",
+        "avg_profit_margin",
+        "cancelled_orders",
+        "fulfilled_orders",
+        "perfect_orders",
+        "revenue_at_risk",
+        "avg_cost_per_order",
+        "cancellation_rate_pct",
+        "fulfillment_rate_pct",
+        "perfect_order_rate_pct",
+        "on_time_rate_pct",
+    ),
     "kpi_regional": (
-        "market order_region total_orders total_revenue total_profit on_time_rate avg_delay_days revenue_at_risk "
-        "on_time_rate_pct"
-    ).split(),
+        "market",
+        "order_region",
+        "total_orders",
+        "total_revenue",
+        "total_profit",
+        "on_time_rate",
+        "avg_delay_days",
+        "revenue_at_risk",
+        "on_time_rate_pct",
+    ),
     "kpi_shipping": (
-        "shipping_mode total_orders avg_actual_days avg_delay_days on_time_rate total_revenue on_time_rate_pct"
-    ).split(),
+        "shipping_mode",
+        "total_orders",
+        "avg_actual_days",
+        "avg_delay_days",
+        "on_time_rate",
+        "total_revenue",
+        "on_time_rate_pct",
+    ),
     "supplier_metrics": (
-        "department_id department_name total_orders total_revenue total_profit avg_delay_days on_time_rate "
-        "avg_lead_time_days avg_profit_margin total_cancelled total_fulfilled total_revenue_at_risk distinct_products "
-        "regions_served cancellation_rate fulfillment_rate on_time_rate_pct"
-    ).split(),
+        "department_id",
+        "department_name",
+        "total_orders",
+        "total_revenue",
+        "total_profit",
+        "avg_delay_days",
+        "on_time_rate",
+        "avg_lead_time_days",
+        "avg_profit_margin",
+        "total_cancelled",
+        "total_fulfilled",
+        "total_revenue_at_risk",
+        "distinct_products",
+        "regions_served",
+        "cancellation_rate",
+        "fulfillment_rate",
+        "on_time_rate_pct",
+    ),
 }
 REFRESH_DROPS = {
     "kpi_monthly": ["on_time_rate", "cancellation_rate_pct", "fulfillment_rate_pct", "perfect_order_rate_pct"],
     "kpi_regional": ["on_time_rate"],
 }
 
+# Figures of the rollups that are counts; the others are numbers with decimals.
+WHOLE_FIGURES = (
+    "total_orders",
+    "cancelled_orders",
+    "fulfilled_orders",
+    "perfect_orders",
+    "total_cancelled",
+    "total_fulfilled",
+    "distinct_products",
+    "regions_served",
+)
+DIM_DATE_TYPES: dict[str, DataType] = {
+    "date": DateType(),
+    **dict.fromkeys(("date_id", "year", "month", "quarter", "week"), IntegerType()),
+    "is_weekend": IntegerType(),
+}
+
+
+def _table_type(table: str, column: str) -> DataType:
+    if table == "dim_date":
+        return DIM_DATE_TYPES.get(column, StringType())
+    if table in ROLLUP_TABLES and column not in (*COLUMN_TYPES, *TEXT_COLUMNS):
+        return LongType() if column in WHOLE_FIGURES else DoubleType()
+    if table in ROLLUP_TABLES and column == "revenue_at_risk":
+        return DoubleType()
+    return COLUMN_TYPES.get(column, StringType())
+
+
+# Contracts of the ten warehouse tables. Amounts may be kept in a narrower DECIMAL than the declared one.
+TABLE_SCHEMAS: dict[str, StructType] = {
+    table: StructType([StructField(c, _table_type(table, c)) for c in columns]) for table, columns in TABLE_COLUMNS.items()
+}
+
 RUN_LOG = StructType(
     [
         StructField("run_id", LongType(), False),
@@ -246,7 +417,7 @@ RUN_LOG = StructType(
     ]
 )
 # A missing quantity is filled with the median, which may be a half.
-CLEAN_QUANTITY = DecimalType(18, 1)
+CLEAN_QUANTITY = DecimalType(11, 1)
 
 
 def struct_of(columns, dates_as_text: bool = False) -> StructType:

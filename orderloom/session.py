@@ -42,16 +42,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return tune(spark)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on an input that comes in fewer pieces than there are cores.
-
-    A file is never read in more tasks than it has row groups. Inputs with enough pieces, as
-    any large table has, are left as they are; only small ones pay for this shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def run_together(jobs: Iterable[Callable[[], object]], at_once: int = 4) -> list:
     """Run independent Spark jobs side by side, so that the tail of one overlaps the next.
 
@@ -85,3 +75,9 @@ _local_folders: dict[str, str] = {}
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/orderloom/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that has been read to the end."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -7,9 +7,10 @@ from collections.abc import Iterable, Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType, TimestampType
+from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralType, NumericType, StringType, StructType, TimestampType
 
 from orderloom.schemas import (
+    ANY_NUMBER,
     CLEAN_DATE_FORMAT,
     COLUMN_TYPES,
     CUSTOMER_COLUMNS,
@@ -54,30 +55,66 @@ def _open(read, path: str) -> DataFrame:
         raise
 
 
-def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Raw order lines from Latin-1 CSV with a header; known columns get their type by name.
-
-    No inference pass: every field is read as text and converted in the same scan. Column
-    order and extra columns do not matter, blanks around headers are dropped, an unreadable
-    number becomes null. Fields with line breaks need ``multiline``, which keeps Spark from
-    splitting a file.
-    """
+def read_raw_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """The fields of a raw Latin-1 CSV with a header, as text. Fields with line breaks need ``multiline``, which keeps
+    Spark from splitting a file."""
     reader = (
         spark.read.option("header", True)
         .option("encoding", "ISO-8859-1")
         .option("escape", '"')
         .option("multiLine", multiline)
     )
-    text = _open(reader.csv, path)
+    return _open(reader.csv, path)
+
+
+def read_raw_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Raw order lines; known columns get their type by name.
+
+    No inference pass: every field is read as text and converted in the same scan. Column
+    order and extra columns do not matter, blanks around headers are dropped. Whole numbers may be
+    written with a fraction of zero (``3.0``). Text that is no number becomes null, see
+    :func:`unreadable_numbers`; a number that does not fit its column is an error.
+    """
+    text = read_raw_text(spark, path, multiline)
     return text.select(*[_typed(c) for c in text.columns])
 
 
+def unreadable_numbers(text: DataFrame) -> DataFrame:
+    """Rows ``(column, n_unreadable)`` for every number column of raw text: fields that hold something, but no number."""
+    columns = {h.strip(): h for h in text.columns if _is_number(_column_type(h.strip()))}
+    if not columns:
+        return text.sparkSession.createDataFrame([], "column string, n_unreadable bigint")
+    bad = {n: F.count_if(_value(h).isNotNull() & _typed(h).isNull()).alias(n) for n, h in columns.items()}
+    return text.agg(*bad.values()).unpivot([], [f"`{n}`" for n in bad], "column", "n_unreadable")
+
+
+def _column_type(name: str) -> DataType:
+    return COLUMN_TYPES.get(RAW_RENAMES.get(name, ""), StringType())
+
+
+def _is_number(dtype: DataType) -> bool:
+    return isinstance(dtype, NumericType)
+
+
+def _value(header: str) -> Column:
+    field = F.col(f"`{header}`")
+    return F.when(~field.isin(*MISSING), field)
+
+
 def _typed(header: str) -> Column:
     name = header.strip()
-    field = F.col(f"`{header}`")
-    value = F.when(~field.isin(*MISSING), field)
-    dtype = COLUMN_TYPES.get(RAW_RENAMES.get(name, ""), StringType())
-    return (value if isinstance(dtype, StringType) else value.try_cast(dtype)).alias(name)
+    value, dtype = _value(header), _column_type(name)
+    if not _is_number(dtype) or isinstance(dtype, FractionalType) and not isinstance(dtype, DecimalType):
+        return (value if isinstance(dtype, StringType) else value.try_cast(dtype)).alias(name)
+    number = value.try_cast(ANY_NUMBER)
+    digits = value.try_cast(DecimalType(38, 0))
+    if isinstance(dtype, IntegralType):
+        number = digits = F.when(number % F.lit(1) == 0, digits)
+        fitted = digits.try_cast(dtype)
+    else:
+        fitted = value.try_cast(dtype)
+    lost = F.raise_error(F.concat(F.lit(f"{name} does not fit its type: "), value)).cast(dtype)
+    return F.when(F.coalesce(number, digits).isNotNull() & fitted.isNull(), lost).otherwise(fitted).alias(name)
 
 
 def read_clean_csvs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

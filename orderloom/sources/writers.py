@@ -6,14 +6,27 @@ Row counts come from observed metrics of the write itself, not from a second sca
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    IntegerType,
+    IntegralType,
+    LongType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
-from orderloom.schemas import CLEAN_DATE_FORMAT, FACT_COLUMNS, REFRESHED_TABLES, RUN_LOG, WAREHOUSE_TABLES, YEAR
+from orderloom.schemas import CLEAN_DATE_FORMAT, FACT_COLUMNS, REFRESHED_TABLES, RUN_LOG, TABLE_SCHEMAS, WAREHOUSE_TABLES, YEAR
 from orderloom.session import run_together
 
 CSV_FORMAT = {
@@ -86,9 +99,11 @@ def export_csv(
     def export(name: str) -> tuple:
         try:
             df = tables[name]
+            if name == "fact_orders":  # without the columns it is stored by
+                df = df.select(*FACT_COLUMNS)
             return name, "ok", write_csv(df, f"{folder}/{name}"), len(df.columns), None
         except Exception as e:  # any failure of one table must not stop the others
-            return name, "failed", None, None, f"{type(e).__name__}: {e}"[:500]
+            return name, "failed", None, None, f"{type(e).__name__}: {e}"
 
     return spark.createDataFrame(run_together([partial(export, name) for name in names]), EXPORT_STATUS)
 
@@ -103,32 +118,108 @@ def load_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], folder:
 
     def load(name: str) -> tuple[str, int]:
         path = f"{folder}/{name}"
-        return name, append_fact(tables[name], path, 0) if name == "fact_orders" else write_table(tables[name], path)
+        if name == "fact_orders":
+            return name, append_fact(tables[name], path, FIRST_BATCH)
+        return name, write_table(check_contract(tables[name], name), path)
 
     counts = run_together([partial(load, name) for name in WAREHOUSE_TABLES])
     return spark.createDataFrame(counts, "table_name string, n_rows bigint")
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Iterable[str] = ()) -> int:
+def replace_table(df: DataFrame, path: str) -> int:
+    """Replace a table by a finished one: it is written aside first, so a failed write leaves the old table as it was."""
+    aside = f"{path}.new-{uuid.uuid4().hex[:12]}"
+    rows = write_table(df, aside)
+    jvm = df.sparkSession._jvm
+    new, old = jvm.org.apache.hadoop.fs.Path(aside), jvm.org.apache.hadoop.fs.Path(path)
+    files = old.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{aside} could not be moved to {path}")
+    return rows
+
+
+def _kind(dtype: DataType) -> str:
+    if isinstance(dtype, IntegralType):
+        return "whole number"
+    if isinstance(dtype, NumericType):
+        return "number"
+    return "time" if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)) else dtype.simpleString()
+
+
+def check_contract(df: DataFrame, table: str) -> DataFrame:
+    """``df`` in the declared columns of a warehouse table; an error names what is missing or of another kind."""
+    faults = []
+    for field in TABLE_SCHEMAS[table].fields:
+        if field.name not in df.columns:
+            faults.append(f"{field.name} is missing")
+            continue
+        have, want = _kind(df.schema[field.name].dataType), _kind(field.dataType)
+        if have != want and (have, want) not in (("whole number", "number"), ("number", "whole number")):
+            faults.append(f"{field.name} is {have}, not {want}")
+    if faults:
+        raise ValueError(f"{table}: {'; '.join(faults)}")
+    return df.select(*TABLE_SCHEMAS[table].names)
+
+
+def conformed(df: DataFrame, stored: StructType, table: str) -> DataFrame:
+    """``df`` in the columns and types a table is stored in. What does not fit is an error before anything is written.
+
+    Numbers are cast where no value changes by it: a narrower stored type is checked value by value.
+    """
+    narrowed, columns = [], []
+    for field in stored.fields:
+        if field.name not in df.columns:
+            raise ValueError(f"{table}: {field.name} is missing")
+        have, column = df.schema[field.name].dataType, F.col(f"`{field.name}`")
+        if have != field.dataType:
+            if not (isinstance(have, NumericType) and isinstance(field.dataType, NumericType)):
+                raise ValueError(f"{table}: {field.name} is {have.simpleString()}, the table holds {field.dataType.simpleString()}")
+            cast = column.try_cast(field.dataType)
+            changed = column.isNotNull() & (cast.isNull() | (cast.cast("decimal(38,9)") != column.cast("decimal(38,9)")))
+            narrowed.append(F.count_if(changed).alias(field.name))
+            column = cast
+        columns.append(column.alias(field.name))
+    if narrowed:
+        lost = {c: n for c, n in df.agg(*narrowed).first().asDict().items() if n}
+        if lost:
+            raise ValueError(f"{table}: values that the stored type cannot hold: {lost}")
+    return df.select(*columns)
+
+
+FIRST_BATCH = 0
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int | str, partition_by: Iterable[str] = ()) -> int:
     """Write one batch of a table that grows by batches and return its number of rows.
 
-    A batch owns the folder ``batch_id=<n>``: writing it again replaces it, so a run that is
-    repeated after a failure never adds its rows twice. Batch 0 is the first load; it
-    replaces the whole table.
+    A batch owns the folder ``batch_id=<id>``: writing it again replaces it, so a run that is
+    repeated after a failure never adds its rows twice. Ids name their source (``daily-7``,
+    ``stream-<query>-7``), so different sources cannot replace each other's batches. Batch 0 is the first load; it
+    replaces the whole table and settles the types that later batches are stored in.
     """
-    if batch_id == 0:
-        return write_table(df.withColumn("batch_id", F.lit(0)), path, partition_by=["batch_id", *partition_by])
-    return write_table(df, f"{path}/batch_id={batch_id}", partition_by=partition_by)
+    if batch_id == FIRST_BATCH:
+        first = _gathered(df.withColumn("batch_id", F.lit(FIRST_BATCH)), partition_by)
+        return write_table(first, path, partition_by=["batch_id", *partition_by])
+    stored = df.sparkSession.read.parquet(f"{path}/batch_id={FIRST_BATCH}").schema
+    same = conformed(df, stored, path.rsplit("/", 1)[-1])
+    return write_table(_gathered(same, partition_by), f"{path}/batch_id={batch_id}", partition_by=partition_by)
+
+
+def _gathered(df: DataFrame, partition_by: Iterable[str]) -> DataFrame:
+    """Rows of one folder brought together for writing: few files, and a large folder is still split over tasks."""
+    columns = list(partition_by)
+    return df.hint("rebalance", *[F.col(c) for c in columns]) if columns else df
 
 
-def write_orders(df: DataFrame, path: str, batch_id: int) -> int:
+def write_orders(df: DataFrame, path: str, batch_id: int | str) -> int:
     """Write a batch of order rows, partitioned by order year: a report on some years reads only those."""
     return write_batch(df.withColumn(YEAR, F.year("order_date")), path, batch_id, [YEAR])
 
 
-def append_fact(batch: DataFrame, path: str, batch_id: int) -> int:
+def append_fact(batch: DataFrame, path: str, batch_id: int | str) -> int:
     """Append a batch of fact rows (batch 0: replace the fact) and return the number inserted."""
-    return write_orders(batch.select(*[c for c in FACT_COLUMNS if c in batch.columns]), path, batch_id)
+    return write_orders(check_contract(batch, "fact_orders"), path, batch_id)
 
 
 def log_run(

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schemas import RAW_DATES, RAW_RENAMES
-from orderloom.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,13 +23,13 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # are then shuffled for the order key only once. Nation and region have 25 and 5 rows at
     # any scale, so they are broadcast; the other sides are left to Spark's size threshold.
     heads = (
-        spread(t["orders"], "o_custkey")
+        t["orders"]
         .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
         .join(F.broadcast(t["nation"]), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(F.broadcast(t["region"]), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     joined = (
-        spread(t["lineitem"], "l_orderkey")
+        t["lineitem"]
         .join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
     )

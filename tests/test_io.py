@@ -99,3 +99,27 @@ def test_profile_sketch_agrees_on_few_values(spark, star):
     for c in ("market", "shipping_mode"):
         assert exact[c] == rough[c]
     assert abs(rough["order_id"]["unique_values"] / exact["order_id"]["unique_values"] - 1) < 0.15
+
+
+def test_numbers_of_raw_files_arrive_whole(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text(
+        "Order Id,Sales,Order Item Quantity,Days for shipping (real)\n"
+        "200000000000000001,12345678901.50,3.0,2\n"
+        "7,0.039999999,x,2.5\n"
+        "NA,1e3,,-1\n"
+    )
+    rows = readers.read_raw_csv(spark, str(path)).collect()
+    assert [r["Order Id"] for r in rows] == [200000000000000001, 7, None]
+    assert [str(r["Sales"]) for r in rows] == ["12345678901.500000000", "0.039999999", "1000.000000000"]
+    assert [r["Order Item Quantity"] for r in rows] == [3, None, None]
+    assert [r["Days for shipping (real)"] for r in rows] == [2, None, -1]
+    bad = {r["column"]: r["n_unreadable"] for r in readers.unreadable_numbers(readers.read_raw_text(spark, str(path))).collect()}
+    assert bad == {"Order Id": 0, "Sales": 0, "Order Item Quantity": 1, "Days for shipping (real)": 1}
+
+
+def test_number_too_large_for_its_column_is_an_error(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text("Order Item Quantity,Sales\n3000000000,1\n")
+    with pytest.raises(Exception, match="quantity|Quantity.*does not fit"):
+        readers.read_raw_csv(spark, str(path)).collect()

@@ -40,6 +40,33 @@ def test_incomplete_only_leaves_complete_columns_out(spark):
     assert rows == {"a": None, "b": 5.0}
 
 
+def test_few_scans_and_complete_columns_stay_as_they_are(spark):
+    df = spark.createDataFrame([(200000000000000001, 1, None), (7, 2, 4), (9, 2, 8)], "id bigint, n int, gap int")
+    filled = fill_numeric_median(df)
+    assert [f.dataType.simpleString() for f in filled.schema.fields] == ["bigint", "int", "decimal(11,1)"]
+    assert sorted(map(tuple, filled.select("id", "n").collect())) == sorted(map(tuple, df.select("id", "n").collect()))
+    assert sorted(float(r["gap"]) for r in filled.collect()) == [4.0, 6.0, 8.0]
+    assert "Join" not in filled._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_clustered_values_are_sliced_again(spark, monkeypatch):
+    from orderloom.operators import median
+
+    monkeypatch.setattr(median, "FEW_VALUES", 3)
+    monkeypatch.setattr(median, "BRACKET", 0.5)
+    df = spark.range(4001).select((F.col("id") * F.col("id") * 1e-7 + F.when(F.col("id") == 4000, 1e9).otherwise(0.0)).alias("x"))
+    assert _medians(df, ["x"])["x"] == pytest.approx(2000 * 2000 * 1e-7)
+
+
+def test_missed_bracket_is_widened(spark, monkeypatch):
+    from orderloom.operators import median
+
+    sketched = median._sketched
+    monkeypatch.setattr(median, "_sketched", lambda c, w: sketched(c, w) if w > 0.01 else F.struct(
+        F.array(F.lit(-9.0), F.lit(-8.0)).alias("around"), F.count(c).alias("n"), F.lit(1).alias("nulls")).alias(c))
+    assert _medians(spark.range(11).select(F.col("id").cast("double").alias("x")), ["x"])["x"] == 5.0
+
+
 def test_fill_keeps_values_and_fills_with_midpoint(spark):
     df = spark.createDataFrame(
         [(1, "1.50", None, "x"), (4, "2.00", None, None), (None, None, None, "y"), (2, "9.99", None, "z")],
