@@ -63,7 +63,54 @@ END_ID = 2
 TREE = shard_tree.even_tree(2, 3, 4)
 
 
-@query("op4_hash_tree_shards")
+def _shards_sql(tree: list[shard_tree.Shard], more: list[shard_tree.Shard]) -> str:
+    """The same descent with the trees' nodes as a table; crc32 bit by bit from its polynomial."""
+    nodes = ", ".join(
+        f"('{name}', {parent}, '{path}', {weight!r}e0, {node}, {place})"
+        for name, shards in (("now", tree), ("grown", more))
+        for parent, children in enumerate(shard_tree._children(shards))
+        for place, (path, weight, node) in enumerate(children)
+    )
+    bits = f"CAST('0x' || substr(md5('{shard_tree.SEED}' || path || '/' || key), 1, 13) AS BIGINT)"
+    steps = "".join(
+        f"""s{i} AS (
+  SELECT rn, key, tree, first(nodes.node ORDER BY -ln(({bits} + 1) / 4503599627370496e0) / weight, place) AS node
+  FROM {"(SELECT rn, key, t.tree, 0 AS node FROM d, (VALUES ('now'), ('grown')) t(tree))" if i == 1 else f"s{i - 1}"} x
+  JOIN nodes ON nodes.tree = x.tree AND nodes.parent = x.node
+  GROUP BY rn, key, x.tree, tree),
+""".replace("SELECT rn, key, tree,", "SELECT rn, key, x.tree,").replace("GROUP BY rn, key, x.tree, tree", "GROUP BY rn, key, x.tree")
+        for i in (1, 2, 3)
+    )
+    return f"""
+WITH crcs AS (
+  SELECT list(v ORDER BY i) AS crc
+  FROM (SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)),
+                              lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+        FROM range(256) r(i))),
+d AS (
+  SELECT row_number() OVER () AS rn, doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key, coalesce(text, '') AS text
+  FROM documents),
+h AS (
+  SELECT rn, doc_id, key, CAST(strlen(text) + 8 AS BIGINT) AS size,
+         list_transform(regexp_extract_all(hex(text), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes
+  FROM d),
+c AS (
+  SELECT rn, doc_id, key, size, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+                                    lambda c, b: xor(c // 256, crc[xor(c % 256, b) + 1]))) AS text_crc32
+  FROM h, crcs),
+nodes(tree, parent, path, weight, node, place) AS (VALUES {nodes}),
+{steps}r AS (
+  SELECT c.*, a.node AS shard, b.node AS grown_shard,
+         CAST('0x' || substr(md5('{shard_tree.SEED}/slot/' || c.key), 1, 8) AS BIGINT)
+           % greatest(1, (SELECT CAST(ceil(count(*) / {len(tree) * shard_tree.ROWS_PER_RUN}e0) AS BIGINT) FROM d)) AS run
+  FROM c JOIN s3 a ON a.rn = c.rn AND a.tree = 'now' JOIN s3 b ON b.rn = c.rn AND b.tree = 'grown')
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY run, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot
+FROM r
+"""
+
+
+@query("op4_hash_tree_shards", _shards_sql(TREE, shard_tree.grown(TREE)))
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_tree.assign(documents(spark, sf_dir), TREE, shard_tree.grown(TREE))
 
@@ -127,6 +174,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score(docs, model, keep=(held_out.alias("held_out"),))
 
 
-@query("op7_sparse_jaccard_join")
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS rn, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT rn, doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [ws]
+                                   ELSE list_transform(range(1, len(ws) - 2), lambda i: ws[i : i + 3]) END) AS sh
+  FROM w),
+e AS MATERIALIZED (SELECT rn, len(sh) AS n, unnest(sh) AS x FROM s),
+o AS (
+  SELECT a.rn AS a, b.rn AS b, a.n AS na, b.n AS nb, count(*) AS m
+  FROM e a JOIN e b ON a.x = b.x AND a.rn < b.rn GROUP BY ALL),
+l AS MATERIALIZED (SELECT a, b FROM o WHERE 100 * m >= 85 * (na + nb - m)),
+t AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT a, b FROM t UNION SELECT r.a, t.b FROM r JOIN t ON r.b = t.a)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles,
+       least(s.doc_id, (SELECT min(z.doc_id) FROM r JOIN s z ON z.rn = r.b WHERE r.a = s.rn)) AS component_id
+FROM s
+"""
+
+
+@query("op7_sparse_jaccard_join", JACCARD_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(documents(spark, sf_dir), width=4, percent=85)
