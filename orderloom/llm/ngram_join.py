@@ -35,7 +35,7 @@ from orderloom.llm.text import free_name, mix, ragged, raw, slabs, span_hashes,
 
 KEY_BITS = 48
 #: Bytes of text whose entries a task gathers before it hands them on, and for each range of n-grams.
-GATHER_BYTES = 20 << 20
+GATHER_BYTES = 8 << 20
 RANGE_BYTES = 16 << 20
 #: Entries in one tile of a cluster.
 TILE_ENTRIES = 1_000_000
@@ -132,7 +132,7 @@ def _signatures(width: int):
 
 BLOB = "block int, rows binary, sizes binary, of binary, keys binary, class binary"
 BLOB_NAMES = [c.split()[0] for c in BLOB.split(", ")]
-BLOB_ENTRIES = 16_384
+BLOB_ENTRIES = 2048
 
 
 def _blobs(block: np.ndarray, rows: np.ndarray, sizes: np.ndarray, of: np.ndarray, keys: np.ndarray, class_: np.ndarray | None) -> Iterator[pa.RecordBatch]:
@@ -142,7 +142,7 @@ def _blobs(block: np.ndarray, rows: np.ndarray, sizes: np.ndarray, of: np.ndarra
     for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         for a in range(low, high, BLOB_ENTRIES):
             b = min(a + BLOB_ENTRIES, high)
-            own, at = np.unique(of[a:b], return_inverse=True)  # at most 65,536 rows, as there are no more entries
+            own, at = np.unique(of[a:b], return_inverse=True)
             six = keys[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
             kinds = class_[a:b].tobytes() if class_ is not None else b""
             out.append((int(block[a]), rows[own].astype("<i8").tobytes(), sizes[own].astype("<i4").tobytes(), at.astype("<u2").tobytes(), six, kinds))
@@ -177,12 +177,19 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tupl
 
 
 def _joined(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct rows and their sizes; row number, key and class of every entry."""
+    """Distinct rows and their sizes; row number, key and class of every entry. Empties ``parts`` on the way."""
     rows, first, at = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
     sizes = np.concatenate([p[1] for p in parts])[first]
     starts = np.cumsum([0, *(len(p[0]) for p in parts)])
-    of = np.concatenate([at[s + p[2].astype(np.int64)] for s, p in zip(starts, parts, strict=False)])
-    return rows, sizes, of, np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts])
+    n = sum(len(p[2]) for p in parts)
+    of, keys, kinds = np.empty(n, np.int32), np.empty(n, np.uint64), np.empty(n, np.uint8)
+    for start in starts[-2::-1].tolist():
+        part = parts.pop()
+        low = n - len(part[2])
+        of[low:n] = at[start + part[2].astype(np.int64)]
+        keys[low:n], kinds[low:n] = part[3], part[4]
+        n = low
+    return rows, sizes, of, keys, kinds
 
 
 def _by_range(width: int, ranges: int, hot: np.ndarray):
@@ -243,7 +250,7 @@ def _shared(ranges: int):
                 kept = np.repeat(counts > 1, counts)
                 of, keys, kinds = of[kept], keys[kept], kinds[kept]
             bucket = _bucket(rows, ranges)[of]
-            order = np.argsort(bucket, kind="stable")
+            order = np.lexsort((of, bucket))  # by row, so that a blob names few rows
             yield from _blobs(bucket[order], rows, sizes, of[order], keys[order], kinds[order])
 
     return run

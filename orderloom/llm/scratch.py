@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.session import fresh_path
 
-#: Rows in one Arrow batch. Rows here are whole texts or blocks, so the usual 10,000 would not be bounded in bytes.
-ARROW_ROWS = 1000
+#: Rows in one Arrow batch. Rows here are whole texts or blocks of some ten KB, of which the usual 10,000 would be too many.
+ARROW_ROWS = 256
 
 
 def settle(spark: SparkSession) -> SparkSession:

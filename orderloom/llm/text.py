@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,20 @@ BYTE_CODES = np.random.default_rng(20_240_601).integers(1, 1 << 63, 256, dtype=n
 _powers: dict[str, np.ndarray] = {}
 
 
+def _return_freed_memory() -> None:
+    """Let large arrays go back to the system when they are freed; workers live on through many tasks.
+
+    The C library would otherwise come to keep them for itself. Where it has no such setting, nothing changes.
+    """
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    except (AttributeError, OSError):
+        pass
+
+
+_return_freed_memory()
+
+
 def whole_text(column: str) -> Column:
     """The text, where null counts as empty."""
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
@@ -70,6 +85,7 @@ def slabs(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SL
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
