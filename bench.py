@@ -38,6 +38,7 @@ HEADLINE = [
     "dq_fk_orphans",
     "enrich_orders",
     "profile_columns",
+    "profile_nulls",
     "fill_numeric_median",
     "standardize_text",
 ]
