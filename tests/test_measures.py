@@ -80,3 +80,8 @@ def test_no_line_level_join_for_mergeable_kpis(star):
     plan = kpis.kpi(star, "kpi06_margin_by_segment")._jdf.queryExecution().optimizedPlan().toString()
     join_at = plan.index("Join Inner")
     assert "Aggregate [customer_id" in plan[join_at:]
+
+
+def test_rounding_of_large_values_changes_nothing(spark):
+    df = spark.createDataFrame([(5e17,), (-5e17,), (9.2e18,), (1e300,)], "x double")
+    assert [r[0] for r in df.select(round_half_away(F.col("x"), 2)).collect()] == [5e17, -5e17, 9.2e18, 1e300]

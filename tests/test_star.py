@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from orderloom.operators.star import coerce_fact_types
 from orderloom.operators import quality, star
 from orderloom.operators.keys import number_rows
 
@@ -78,3 +79,10 @@ def test_join_kinds(spark, star):
     assert joined.count() == n
     in_kpi = sum(r["total_orders"] for r in kpis.kpi(cut, "kpi09_perfect_order_by_category").collect())
     assert in_kpi == joined.where("category IS NOT NULL").count() < n
+
+
+def test_flags_written_as_floats_are_read(spark):
+    df = spark.createDataFrame([("1.0", "2e0"), ("0.0", "x"), (None, "12345678901.5")], "on_time_flag string, sales string")
+    rows = coerce_fact_types(df).collect()
+    assert [r["on_time_flag"] for r in rows] == [1, 0, 0]
+    assert [float(r["sales"]) for r in rows] == [2.0, 0.0, 12345678901.5]
