@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -305,64 +306,148 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 # ── near copies ──
 
-BANDS = 16
-BAND_BITS = 12
 NEAR = 0.8
+#: Lengths of walks are told apart in cells, each so many times as long as the one before.
+CELL = 2**0.25
+#: The most that is missed of pairs that are alike by exactly ``near``; of those more alike it is less.
+MISSED = 0.01
+#: Unrelated texts that may be expected in a bucket, bits of a band, and the most bands.
+CROWD = 8
+LEAST_BITS = 12
+MOST_BANDS = 256
+#: Members of a bucket that are compared with each other, or with as many others, at a time.
+BLOCK = 2000
+
+
+@dataclass(frozen=True)
+class Bands:
+    """A plan of bands: ``spread`` cells below its own in which a text is found, ``bands`` in each, of ``bits`` bits."""
+
+    spread: int
+    bands: int
+    bits: int
+
+    def keys(self, bits: np.ndarray) -> np.ndarray:
+        """Band keys, a row for each fingerprint; -1 where it has none.
+
+        Keys that two fingerprints can have in common stand in the same column.
+        """
+        cuts = _cells()
+        counts = (bits != 2).sum(axis=1)
+        own = np.searchsorted(cuts, counts, "right") - 1
+        out = np.full((len(bits), self.spread + 1, self.bands), -1, np.int64)
+        for cell in np.unique(own[own >= 0]).tolist():
+            rows = np.flatnonzero(own == cell)
+            for below in range(max(0, cell - self.spread), cell + 1):
+                drawn = np.zeros((len(rows), self.bands, 32), np.uint8)
+                drawn[:, :, : self.bits] = bits[rows][:, self._picks(below)]
+                values = np.packbits(drawn, axis=2, bitorder="little").view("<u4")[:, :, 0].astype(np.int64)
+                out[rows, below % (self.spread + 1)] = values << 16 | np.arange(self.bands) << 8 | below
+        return out.reshape(len(bits), -1)
+
+    def _picks(self, cell: int) -> np.ndarray:
+        """The samples that each band of a cell reads, drawn by the steps that they stand for."""
+        name = f"picks {self} {cell}"
+        if name not in _tables:
+            share = _table("weights")[: _cells()[cell]]
+            _tables[name] = np.random.default_rng([SEED, cell]).choice(len(share), (self.bands, self.bits), p=share / share.sum())
+        return _tables[name]
+
+
+def _cells() -> np.ndarray:
+    """The number of samples with which each cell begins: weighed, at least ``CELL`` times as many as the one before."""
+    weights = _table("weights")
+    if "cells" not in _tables:
+        reach = np.cumsum(weights)
+        cuts = [1]
+        while (after := int(np.searchsorted(reach, CELL * reach[cuts[-1] - 1]))) < len(reach):
+            cuts.append(after + 1)
+        _tables["cells"] = np.array(cuts)
+    return _tables["cells"]
+
+
+def plan_bands(n: int, near: float) -> Bands:
+    """Bands for ``n`` texts: bits grow with the logarithm of ``n``, and bands so that no more than ``MISSED`` is missed.
+
+    Texts that are alike by ``near`` have lengths of walks in a ratio of at least ``near``, and differ in at most
+    ``(1 - near) / 2`` of the shorter walk, so in at most ``CELL`` times that share of the part below a common cell's border.
+    """
+    if not 0 < near <= 1:
+        raise ValueError("near is above 0 and at most 1")
+    agree = 1 - (1 - near) / 2 * CELL
+    bits = max(LEAST_BITS, int(np.ceil(np.log2(max(n, 1) / CROWD))))
+    tries = np.log(1 / MISSED)
+    if agree < 1:
+        bits = min(bits, max(1, int(np.log((MOST_BANDS - 1) / tries) / -np.log(agree))))
+    bits = min(bits, 31)
+    return Bands(int(np.log(1 / near) / np.log(CELL)) + 1, int(np.ceil(tries / agree**bits)), bits)
+
+
+def _block_links(plan: Bands, near: float):
+    """All links of each block, a pair in the first of the bands that it shares only."""
+
+    def links(band: int, side: list, ids: list, prints: list) -> pa.RecordBatch:
+        bits = read_back(prints)
+        left, right = (np.flatnonzero(np.array(side) == s) for s in (0, 1))
+        across = len(right) > 0
+        right = right if across else left
+        weights = _table("weights")[: bits.shape[1]]
+        signs = np.where(bits == 2, 0.0, 1.0 - 2.0 * bits)
+        size = np.abs(signs) @ weights
+        alike = np.clip((signs[left] * weights) @ signs[right].T / np.maximum(size[left][:, None], size[right]), 0, 1)
+        ids = np.array(ids, np.int64)
+        linked = (alike >= near) & (ids[left][:, None] != ids[right])
+        if not across:
+            linked = np.triu(linked, 1)
+        if linked.any():
+            keys = plan.keys(bits)
+            column = int(np.flatnonzero(keys[left[0]] == band)[0])
+            for k in range(column):
+                linked &= (keys[left, k][:, None] != keys[right, k]) | (keys[right, k] < 0)
+        i, j = np.nonzero(linked)
+        a, b = ids[left[i]], ids[right[j]]
+        columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(alike[i, j])]
+        return pa.RecordBatch.from_arrays(columns, names=["rep_id", "other_id", "likeness"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, ([], [], [])
+        for batch in batches:
+            for *block, side, doc, fingerprint_ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block != at:
+                    if len(held[0]) > 1:
+                        yield links(at[0], *held)
+                    at, held = block, ([], [], [])
+                for column, value in zip(held, (side, doc, fingerprint_), strict=True):
+                    column.append(value)
+        if len(held[0]) > 1:
+            yield links(at[0], *held)
 
-def _bands(bits: np.ndarray) -> list[list[int]]:
-    """Band keys of each row: bits drawn from the last two stretches that the text walked through whole."""
-    steps = _table("steps")
-    rng = np.random.default_rng(SEED + 1)
-    picks = np.array([rng.choice(SAMPLES, BAND_BITS, replace=False) for _ in range(BANDS)])
-    counts = (bits != 2).sum(axis=1)
-    out = []
-    for row, n in zip(bits, counts.tolist(), strict=True):
-        keys = []
-        if n:
-            last = int(steps[n - 1]).bit_length() - 1  # the stretch it ended in
-            for level in {max(0, last - 1), max(0, last - 2)} if last > 6 else {-1}:
-                if level < 0:  # short texts: the whole fingerprint up to 64 samples
-                    keys.append(int.from_bytes(hashlib.blake2b(row[:n].tobytes(), digest_size=7).digest(), "big") * 64 + 63)
-                    continue
-                start = int(np.searchsorted(steps, 1 << level))
-                own = row[start : start + SAMPLES]
-                if len(own) == SAMPLES:
-                    values = (own[picks].astype(np.int64) & 1) @ (1 << np.arange(BAND_BITS))
-                    keys += [(int(v) * BANDS + b) * 64 + level for b, v in enumerate(values)]
-        out.append(keys)
-    return out
+    return run
 
 
 def near_links(docs: DataFrame, near: float = NEAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Links ``rep_id, other_id, likeness`` between different texts whose fingerprints are alike by at least ``near``.
 
-    Equal texts count as one document, the smallest id of them. In every band's bucket each document is compared with
-    the one that comes first by a hash of its id, another one in each band, so a bucket of any size makes as many candidates
-    as it has members, and no bucket is left out. Banding finds a pair by chance: of texts alike by 0.9, all but a few of a
-    thousand share a band. Short texts (up to 64 steps) are found if their fingerprints are equal. Empty texts have no links.
-    Null ids are not linked.
+    Equal texts count as one document, the smallest id of them. All members of every band's bucket are compared with each
+    other, in blocks of at most ``BLOCK`` by ``BLOCK`` that are tasks of their own; bits are added to the bands as texts
+    become more, so that unrelated ones rarely meet. Banding finds a pair by chance: of pairs alike by exactly ``near``,
+    of any length, at most ``MISSED`` are expected to share no band, and far fewer of those more alike. Every pair of
+    texts is given once. Empty texts have no links, null ids are not linked, nor are two texts of one id.
     """
-    prints = fingerprint(docs.where(F.col(f"`{id_col}`").isNotNull()), id_col, text_col)
+    prints = fingerprint(docs.where(F.col(f"`{id_col}`").isNotNull()), id_col, text_col).where("n_chars > 0")
     one = stored(prints.groupBy("text_sha256", "fingerprint").agg(F.min("doc_id").alias("doc_id")), "edit-prints")
+    plan = plan_bands(one.count(), near)
 
     @F.pandas_udf("array<long>")
     def bands(column):
-        return pd.Series(_bands(read_back(column.tolist())))
-
-    @F.pandas_udf("double")
-    def alike(a, b):
-        x, y = read_back(a.tolist()), read_back(b.tolist())
-        return pd.Series(likeness(x, y))
-
-    members = one.select("doc_id", F.explode(bands("fingerprint")).alias("band"))
-    first = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("doc_id", "band").alias("draw"), F.col("doc_id"))).alias("first"))
-    pairs = (
-        members.join(first.select("band", F.col("first.doc_id").alias("head")), "band")
-        .where(F.col("doc_id") != F.col("head"))
-        .select(F.least("doc_id", "head").alias("rep_id"), F.greatest("doc_id", "head").alias("other_id"))
-        .distinct()
-    )
-    left = one.select(F.col("doc_id").alias("rep_id"), F.col("fingerprint").alias("a"))
-    right = one.select(F.col("doc_id").alias("other_id"), F.col("fingerprint").alias("b"))
-    return pairs.join(left, "rep_id").join(right, "other_id").select("rep_id", "other_id", alike("a", "b").alias("likeness")).where(F.col("likeness") >= near)
+        return pd.Series([row[row >= 0] for row in plan.keys(read_back(column.tolist()))])
+
+    found = F.explode(bands("fingerprint")).alias("band")
+    crowds = one.select(found).groupBy("band").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("k"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = one.select("doc_id", "fingerprint", F.xxhash64("text_sha256").alias("draw"), found).join(crowds, "band")
+    members = members.withColumn("tile", F.pmod("draw", "k").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    t1, t2 = F.least("tile", "other"), F.greatest("tile", "other")
+    placed = members.select("band", t1.alias("t1"), t2.alias("t2"), (F.col("tile") > F.col("other")).cast("int").alias("side"), "doc_id", "fingerprint")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = placed.repartition(parts, "band", "t1", "t2").sortWithinPartitions("band", "t1", "t2")
+    return blocks.mapInArrow(_block_links(plan, near), "rep_id long, other_id long, likeness double")

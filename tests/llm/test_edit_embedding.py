@@ -103,3 +103,49 @@ def test_near_copies_are_linked(spark):
     rows += [(300, None, 0, ""), (301, "", 0, ""), (None, base[0], 0, "")]
     links = {(r["rep_id"], r["other_id"]) for r in ee.near_links(frame(spark, rows)).collect()}
     assert {(i, 100 + i) for i in range(12)} == links
+
+
+def alike_by_hand(some, near):
+    """All pairs of texts, by the likeness of their fingerprints; ids are places."""
+    bits = ee.read_back(ee.fingerprints(some)[0])
+    signs = np.where(bits == 2, 0.0, 1.0 - 2.0 * bits)
+    weights = ee._table("weights")[: bits.shape[1]]
+    size = np.abs(signs) @ weights
+    out = {}
+    for low in range(0, len(some), 1000):
+        part = slice(low, low + 1000)
+        alike = (signs[part] * weights) @ signs.T / np.maximum(np.maximum(size[part][:, None], size), 1e-9)
+        for i, j in zip(*np.nonzero(alike >= near), strict=True):
+            if low + i < j and size[j]:
+                out[int(low + i), int(j)] = alike[i, j]
+    return out
+
+
+@pytest.mark.parametrize("block", [2000, 16])
+def test_links_among_many_unrelated_texts(spark, monkeypatch, block):
+    monkeypatch.setattr(ee, "BLOCK", block, raising=False)
+    rng = random.Random(12)
+
+    def made(n):
+        return "".join(rng.choice("abcdefgh ijklmnop") for _ in range(n))
+
+    def changed(text, times):
+        text = list(text)
+        for _ in range(times):
+            text[rng.randrange(len(text))] = rng.choice("qrst")
+        return "".join(text)
+
+    some = [made(rng.choice([20, 25, 30, 200, 260, 400])) for _ in range(10_000 if block > 100 else 500)]
+    some += [changed(t, rng.choice([1, 1, 2, 3])) for t in some[:400]]  # pairs, the short ones too
+    template = made(300)
+    some += [changed(template, 1) for _ in range(60)]  # one bucket in which nearly all are alike
+    some += [template + made(n) for n in (10, 40, 60, 80)]  # lengths that lie in different cells
+    some = list(dict.fromkeys(some))
+    want = alike_by_hand(some, 0.8)
+    short = {p for p in want if len(some[p[0]]) <= 30}
+    assert len(want) > 1500 and len(short) > 50
+    links = ee.near_links(frame(spark, [(i, t, 0, "") for i, t in enumerate(some)]).repartition(8)).collect()
+    found = {(r["rep_id"], r["other_id"]): r["likeness"] for r in links}
+    assert len(found) == len(links) and set(found) <= set(want)
+    assert all(found[p] == pytest.approx(want[p], abs=1e-12) for p in found)
+    assert len(found) >= 0.99 * len(want) and len(short & set(found)) >= 0.98 * len(short)
