@@ -93,8 +93,8 @@ def needed(sizes: np.ndarray, percent: int) -> np.ndarray:
 # ── rounds over the texts ──
 
 
-def _signatures(width: int):
-    """A row for each document, and with kind 1 each n-gram that many rows of this task hold."""
+def _signatures(width: int, carry: bool):
+    """A row for each document, and with kind 1 each n-gram that many rows of this task hold. With ``carry`` a mark goes through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, size = [], [], 0
@@ -106,8 +106,8 @@ def _signatures(width: int):
             many = counts >= max(HOT_AT_LEAST, len(first) // (2 * HOT_SHARE))
             n = int(many.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.array(counts[many]), pa.array(some[many].astype(np.int64))],
-                names=["kind", "doc_id", "n", "row"],
+                [pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.array(counts[many]), pa.array(some[many].astype(np.int64)), *[pa.nulls(n, pa.int64())] * carry],
+                names=["kind", "doc_id", "n", "row", "mark"][: 4 + carry],
             )
 
         for slab in slabs(batches):
@@ -115,7 +115,8 @@ def _signatures(width: int):
             keys, sizes = shingle_sets(data, offsets, width)
             row = set_rows(keys, sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(row), np.int32)), slab.column(0), pa.array(sizes), pa.array(row)], names=["kind", "doc_id", "n", "row"]
+                [pa.array(np.zeros(len(row), np.int32)), slab.column(0), pa.array(sizes), pa.array(row), *slab.columns[2:]],
+                names=["kind", "doc_id", "n", "row", "mark"][: 4 + carry],
             )
             edges = np.cumsum(sizes)[:-1]
             held += np.split(keys, edges)
@@ -392,13 +393,19 @@ def similar_groups(docs: DataFrame, width: int, percent: int, id_col: str = "doc
     share a component; null ids never name one unless all ids of a component are null. An empty table gives no rows; other
     columns are not looked at. Long texts are taken whole.
     """
+    return _groups(docs, width, percent, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def _groups(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str, mark: Column | None = None) -> DataFrame:
+    """As :func:`similar_groups`, with ``component``, which tells components of one smallest id apart (null: empty), and ``mark``."""
+    carried = ["mark"] if mark is not None else []
     spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), whole_text(text_col).alias("text"), *([mark.alias("mark")] if carried else []))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-size // RANGE_BYTES))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(ranges, 100_000))
 
-    marked = stored(rows.mapInArrow(_signatures(width), "kind int, doc_id long, n long, row long"), "ngram-rows")
+    marked = stored(rows.mapInArrow(_signatures(width, bool(carried)), ", ".join(["kind int, doc_id long, n long, row long", *(f"{c} long" for c in carried)])), "ngram-rows")
     signed = marked.where("kind = 0")
     sets = signed.where("n > 0").groupBy("row").agg(F.min("doc_id").alias("least_id"))
     n_rows = sets.count()
@@ -426,27 +433,35 @@ def similar_groups(docs: DataFrame, width: int, percent: int, id_col: str = "doc
     named = groups.select(F.col("node").alias("row"), "component").union(groups.select(F.col("component"), F.col("component")).distinct())
     linked = sets.join(named, "row")
     least = linked.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of_linked = linked.join(least, "component").select("row", "component_id")
-    of_set = sets.join(of_linked, "row", "left").select("row", F.coalesce("component_id", "least_id").alias("component_id"))
-    found = signed.where("n > 0").join(of_set, "row", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return found.union(signed.where("n = 0").select("doc_id", F.col("n"), "doc_id"))
+    of_linked = linked.join(least, "component").select("row", "component", "component_id")
+    of_set = sets.join(of_linked, "row", "left").select("row", F.coalesce("component", "row").alias("component"), F.coalesce("component_id", "least_id").alias("component_id"))
+    found = signed.where("n > 0").join(of_set, "row", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "component", *carried)
+    return found.union(signed.where("n = 0").select("doc_id", F.col("n"), "doc_id", F.lit(None).cast("long"), *carried))
 
 
 def drop_similar(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, without those that are linked to one of a smaller id, directly or not.
 
-    Of each component the row with its smallest id stays, of rows that repeat that id one. Empty texts and rows with a null
+    Of each component the row with its smallest id stays, of rows that repeat that id one: the one with the smallest hash
+    of its text. An id that is repeated with different texts is decided for each of them. Empty texts and rows with a null
     id are linked with nothing here and stay.
     """
-    mark, number = free_name(docs, "similar_id"), free_name(docs, "similar_size")
+    mark, text = free_name(docs, "similar_id"), free_name(docs, "similar_text")
+    print_ = F.xxhash64(whole_text(text_col))
     known = docs.where(F.col(f"`{id_col}`").isNotNull())
-    found = similar_groups(known, width, percent, id_col, text_col)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(mark)).distinct()
-    left = docs.join(dropped, docs[id_col].cast("long") == F.col(mark), "left_anti")
-    sized = found.where("doc_id = component_id AND n_shingles > 0").groupBy(F.col("doc_id").alias(mark)).agg(F.count(F.lit(1)).alias(number)).where(F.col(number) > 1)
+    found = _groups(known, width, percent, id_col, text_col, print_)
+    key = [F.col("doc_id").alias(mark), F.col("mark").alias(text)]
+
+    def same(rows: DataFrame):
+        return (rows[id_col].cast("long") == F.col(mark)) & (print_ == F.col(text))
+
+    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(*key).distinct()
+    left = docs.join(dropped, same(docs), "left_anti")
+    heads = found.where("doc_id = component_id AND n_shingles > 0")
+    sized = heads.groupBy("doc_id", "component").agg(F.count(F.lit(1)).alias("number"), F.min("mark").alias("least")).where("number > 1")
     if sized.isEmpty():
         return left
-    # Only ids that are repeated need one of their rows chosen.
-    same = docs[id_col].cast("long") == F.col(mark)
-    chosen = left.join(sized.select(mark), same, "left_semi").dropDuplicates([id_col])
-    return left.join(sized.select(mark), same, "left_anti").union(chosen)
+    # Only ids that are repeated in a component need one of their rows chosen.
+    repeated = heads.join(sized, ["doc_id", "component"]).select("doc_id", "mark", "least").distinct()
+    chosen = left.join(repeated.where("mark = least").select(*key), same(left), "left_semi").withColumn(text, print_).dropDuplicates([id_col, text]).drop(text)
+    return left.join(repeated.select(*key), same(left), "left_anti").union(chosen)

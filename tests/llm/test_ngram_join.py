@@ -108,6 +108,13 @@ def test_drop_similar_keeps_rows_whole(spark):
     assert nj.drop_similar(frame(spark, [])).count() == 0
 
 
+def test_drop_similar_tells_texts_of_a_repeated_id_apart(spark):
+    near, far, other = "a b c d e f g", "q r s t u v w", "h i j k l m n"
+    rows = [(3, near), (5, far), (5, near.upper()), (5, other), (5, other), (5, other.upper()), (7, other), (8, far), (9, None), (9, near), (9, "")]
+    kept = nj.drop_similar(frame(spark, rows).repartition(4)).collect()
+    assert sorted((r["doc_id"], (r["text"] or "").lower()) for r in kept) == [(3, near), (5, other), (5, far), (9, ""), (9, "")]
+
+
 def test_components_of_long_and_wide_graphs(spark):
     links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 400)] + [(5000, 5000), (7000, 6000)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()}
