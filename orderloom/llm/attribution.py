@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm import bpe
-from orderloom.llm.text import free_name, raw, slabs, whole_text
+from orderloom.llm.text import raw, slabs, whole_text
 
 #: A token goes to the section of its first character, of its last one, or to the one that holds most of its characters
 #: (the first of them where they hold as many).
@@ -113,19 +113,30 @@ def section_tokens(
 def field_tokens(docs: DataFrame, tokenizer_path: str, fields: list[str], rule: str = "start", separator: str = "\n", id_col: str = "doc_id") -> DataFrame:
     """One row per field: ``doc_id, field, n_tokens``; the fields of a row are encoded as one text, joined by ``separator``.
 
-    A separator belongs to the field before it. A null field is empty; it still gets the separator after it.
+    A separator belongs to the field before it. A null field is empty; it still gets the separator after it. A token that
+    begins where several fields do belongs to the last of them that begins there, as the others are empty. Every row has one
+    row per field, whatever its id is; a repeated id has them once for each of its rows, and a null id keeps its own.
     """
-    text, starts = free_name(docs, "joined_text"), free_name(docs, "joined_starts")
+    if rule not in RULES:
+        raise ValueError(f"the rule is one of {', '.join(RULES)}")
+    names = ["doc_id", "field", "n_tokens"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bpe.piece_table(tokenizer_path)
+        for slab in slabs(batches):
+            begin, end, first = token_spans(table, *raw(slab.column(1)))
+            counts = np.zeros((slab.num_rows, len(fields)), np.int64)
+            for i, starts in enumerate(slab.column(2).to_pylist()):
+                own = allot(begin[first[i] : first[i + 1]], end[first[i] : first[i + 1]], np.array(starts, np.int64), rule)
+                counts[i] = np.bincount(own, minlength=len(fields))
+            docs_of = slab.column(0).take(pa.array(np.repeat(np.arange(slab.num_rows), len(fields))))
+            yield pa.RecordBatch.from_arrays([docs_of, pa.array(list(fields) * slab.num_rows, pa.string()), pa.array(counts.ravel())], names=names)
+
     ends = [F.char_length(whole_text(f)) + F.lit(len(separator)) for f in fields]
     places = [F.lit(0), *(sum(ends[1:i], ends[0]) for i in range(1, len(fields)))]
     joined = docs.select(
-        F.col(f"`{id_col}`"),
-        F.concat_ws(separator, *[whole_text(f) for f in fields]).alias(text),
-        F.array(*places).alias(starts),
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.concat_ws(separator, *[whole_text(f) for f in fields]).alias("text"),
+        F.array(*places).cast("array<long>").alias("starts"),
     )
-    found = section_tokens(joined, tokenizer_path, rule, id_col, text, starts)
-    # Where the last fields are empty, their starts lie outside the text and they have no section: look fields up by start.
-    sized = joined.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.posexplode(starts).alias("at", "char_start"))
-    name = F.element_at(F.array(*[F.lit(f) for f in fields]), F.col("at") + 1)
-    counts = found.groupBy("doc_id", "char_start").agg(F.sum("n_tokens").alias("n_tokens"))
-    return sized.dropDuplicates(["doc_id", "at"]).join(counts, ["doc_id", "char_start"], "left").select("doc_id", name.alias("field"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
+    return joined.mapInArrow(run, "doc_id long, field string, n_tokens long")

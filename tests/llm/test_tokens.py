@@ -145,6 +145,20 @@ def test_fields_and_bad_rule(spark):
     assert attribution.section_tokens(frame(spark, []), PATH).count() == 0
 
 
+@pytest.mark.parametrize("separator", ["\n", ""])
+def test_fields_of_null_and_repeated_ids(spark, separator):
+    rows = [(None, "no id", "at all here"), (4, "a", "first of two"), (4, "longer title", ""), (5, "", "after an empty one"), (5, None, None), (4, "a", "first of two")]
+    docs = spark.createDataFrame(rows, "doc_id long, title string, body string").repartition(3)
+    want = []
+    for i, title, body in rows:
+        at = len(title or "") + len(separator)
+        offsets = LIBRARY.encode(separator.join([title or "", body or ""]), add_special_tokens=False).offsets
+        late = sum(a >= at for a, _ in offsets)
+        want += [(str(i), "body", late), (str(i), "title", len(offsets) - late)]
+    got = attribution.field_tokens(docs, PATH, ["title", "body"], separator=separator).collect()
+    assert sorted((str(r["doc_id"]), r["field"], r["n_tokens"]) for r in got) == sorted(want)
+
+
 # ── shared helpers ──
 
 
