@@ -1,7 +1,7 @@
 """Token ids as files: documents in ascending id order, coded by a shared static rANS table in independent blocks.
 
 A folder holds two Parquet tables. ``table``: ``token, share``, and the number of bits as the share of token -1. ``blocks``, one
-row per block of up to 16,384 ids: ``part, block`` (its place: parts in order of document ids, blocks in order within a part),
+row per block of up to 16,384 ids (none, where documents without ids end a part): ``part, block`` (its place: parts in order of document ids, blocks in order within a part),
 ``n_ids``, ``words`` (32-bit little-endian), ``marks`` and ``states`` of its checkpoints, ``ids_crc32`` and ``words_crc32``,
 and the pieces of documents it holds: ``doc_ids``, ``doc_nulls``, ``counts`` and ``first_ordinal``, the place of the first of
 them in the part. Parquet carries the blocks so that Spark commits them whole, on any store, whatever executors are lost.
@@ -100,6 +100,13 @@ def _coded(table: rans.Frequencies, kind: str):
                 at += coded.n
             ids, docs, counts, held = [flat[take:]], docs[doc:], left[doc:], len(flat) - take
             ordinal += doc
+            while last and docs:  # none of these has any id
+                some = docs[: rans.BLOCK_IDS]
+                names = np.array([d or 0 for d in some], "<i8").tobytes()
+                rows.append((part, block, 0, b"", b"", b"", zlib.crc32(b""), zlib.crc32(b""), names, bytes(d is None for d in some), bytes(4 * len(some)), ordinal))
+                block += 1
+                ordinal += len(some)
+                docs = docs[len(some) :]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=BLOCK_NAMES)
 
@@ -123,9 +130,8 @@ def _coded(table: rans.Frequencies, kind: str):
 def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Write all documents to ``folder`` in ascending id order; nulls first, equal ids in the order of a hash of their ids.
 
-    A null or empty text has only its end id. Without an end id, documents may have no ids at all; they are noted as long as
-    the part holds any id after or before them, so give an end id where every document must be found again. Other columns
-    are not looked at. An empty table gives a folder without blocks.
+    A null or empty text has only its end id. Without an end id, documents may have no ids at all; those that are left after
+    the last id of a part are named by blocks without ids, so every document is found again. Other columns are not looked at. An empty table gives a folder without blocks.
 
     Texts are encoded once, to a stored table. Only ids are then shuffled, by ranges of document ids. The frequency table is as
     long as the vocabulary, whatever the corpus.
@@ -161,9 +167,12 @@ def _blocks(batch: pa.RecordBatch, table: rans.Frequencies) -> Iterator[tuple[di
         for r in some:
             if zlib.crc32(r["words"]) != r["words_crc32"]:
                 raise ValueError(f"part {r['part']}, block {r['block']}: the stored words are damaged")
-            states = np.frombuffer(r["states"], "<u8").reshape(-1, rans.LANES)
-            coded.append(rans.Block(r["n_ids"], np.frombuffer(r["words"], "<u4"), np.frombuffer(r["marks"], "<i4").astype(np.int64), states))
-        for r, ids in zip(some, rans.decode_blocks(coded, table), strict=True):
+            if r["n_ids"]:
+                states = np.frombuffer(r["states"], "<u8").reshape(-1, rans.LANES)
+                coded.append(rans.Block(r["n_ids"], np.frombuffer(r["words"], "<u4"), np.frombuffer(r["marks"], "<i4").astype(np.int64), states))
+        decoded = iter(rans.decode_blocks(coded, table))
+        for r in some:
+            ids = next(decoded) if r["n_ids"] else np.empty(0, np.int32)
             if zlib.crc32(ids.astype("<u4").tobytes()) != r["ids_crc32"]:
                 raise ValueError(f"part {r['part']}, block {r['block']}: the decoded ids are not those that were written")
             yield r, ids

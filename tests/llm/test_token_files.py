@@ -100,6 +100,23 @@ def test_empty_and_repeated(spark, tmp_path):
     assert [r[1] for r in rows] == ["None", "None", "3", "3"] and sum(r[2] for r in rows) == 7 and rows[0][0] == 0
 
 
+@pytest.mark.parametrize("filled", [0, 1, 40])
+def test_documents_without_ids_are_found_without_an_end_id(spark, tmp_path, monkeypatch, filled):
+    monkeypatch.setattr(token_files, "SIDE_BY_SIDE", 1)
+    monkeypatch.setattr(rans, "BLOCK_IDS", 16)
+    monkeypatch.setattr(rans, "ROWS", 1)
+    library = Tokenizer.from_file(PATH)
+    (one,) = library.encode("a", add_special_tokens=False).ids
+    rows = [(i, "" if i % 2 else None) for i in range(40)] + [(None, "")]
+    rows += [(-1 - i, "a") for i in range(filled)]
+    folder = token_files.write(frame(spark, rows).repartition(3), f"file://{tmp_path}/files", PATH, None)
+    want = sorted((str(i), [one] if t else []) for i, t in rows)
+    assert sorted((str(r["doc_id"]), list(r["ids"])) for r in token_files.read_ids(spark, folder).collect()) == want
+    got = token_files.read_digests(spark, folder).collect()
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in got) == [(i, len(ids)) for i, ids in want]
+    assert all(r["ids_crc32"] == zlib.crc32(np.array([one] * r["n_tokens"], "<u4").tobytes()) and 0 <= r["start"] <= filled for r in got)
+
+
 def test_token_table_is_the_vocabulary():
     data, starts = bpe.token_table(PATH)
     library = Tokenizer.from_file(PATH)
