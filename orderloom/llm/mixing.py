@@ -77,6 +77,11 @@ def mix(docs: DataFrame, names: Names = Names()) -> DataFrame:
     Places in the row of a source come from counts per size, then per run of documents of that size (a hash of the id
     parts them, so a size that a third of all rows share is many runs), then from a rank inside the run.
     """
+    return _planned(docs, names).select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _planned(docs: DataFrame, names: Names, carry: bool = False) -> DataFrame:
+    """Every row with its working columns and ``copies``. With ``carry``, ``row`` holds all its columns, and ``tie`` a hash of its text."""
     key = F.when(F.col(f"`{names.source_col}`").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(f"`{names.source_col}`").cast("string")))
     runs = max(1, -(-docs.count() // ROWS_PER_RUN))
     draw = F.md5(F.concat(F.lit(f"{SEED}/row/"), F.coalesce(F.col(f"`{names.id_col}`").cast("string"), F.lit("null"))))
@@ -86,6 +91,7 @@ def mix(docs: DataFrame, names: Names = Names()) -> DataFrame:
         word_count(names.text_col).alias("size"),
         key.alias("source_key"),
         draw.alias("draw"),
+        *([F.xxhash64(F.col(f"`{names.text_col}`").cast("string")).alias("tie"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
     ).withColumn("run", run)
 
     runs_of = rows.groupBy("source_key", "size", "run").agg(F.count(F.lit(1)).alias("n"))
@@ -99,7 +105,7 @@ def mix(docs: DataFrame, names: Names = Names()) -> DataFrame:
     by_run = runs_of.select("source_key", "size", "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))
     places = by_run.join(by_size, ["source_key", "size"]).join(targets, "source_key")
 
-    inside = Window.partitionBy("source_key", "size", "run").orderBy("draw", "doc_id")
+    inside = Window.partitionBy("source_key", "size", "run").orderBy("draw", "doc_id", *(["tie"] if carry else []))
     ranked = rows.withColumn("rank", F.row_number().over(inside).cast("long") - 1)
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     at = F.col("below") + F.col("ahead") + F.col("rank")
@@ -107,23 +113,14 @@ def mix(docs: DataFrame, names: Names = Names()) -> DataFrame:
     crossed = F.when(expected >= MOST, F.lit(MOST)).otherwise(
         F.floor((at + 1) * expected + F.col("offset")) - F.floor(at * expected + F.col("offset"))
     )
-    return (
-        ranked.join(places, ["source_key", "size", "run"])
-        .withColumn("copies", crossed.cast("long"))
-        .select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
-    )
+    return ranked.join(places, ["source_key", "size", "run"]).withColumn("copies", crossed.cast("long"))
 
 
 def mixed_rows(docs: DataFrame, names: Names = Names()) -> DataFrame:
     """The rows of ``docs`` with all their columns, each as often as the mix takes it.
 
-    Rows that repeat an id are told apart by nothing but their size here, so they are first given copies together:
-    ids must be unique for exact figures; a repeated id takes the copies of its row of that size.
+    Rows go through the mix whole, so rows of a repeated or null id are taken one by one. Where they have one size and
+    source, they stand in the order of a hash of their text.
     """
-    n, at, size = (free_name(docs, x) for x in ("mix_copies", "mix_id", "mix_size"))
-    plan = mix(docs, names).where(F.col("copies") > 0)
-    plan = plan.groupBy(F.col("doc_id").alias(at), F.col("size").alias(size)).agg(F.max("copies").alias(n))
-    same = docs[names.id_col].cast("long").eqNullSafe(F.col(at)) & (word_count(names.text_col) == F.col(size))
-    each = free_name(docs, "mix_each")
-    joined = docs.join(plan, same).withColumn(each, F.explode(F.sequence(F.lit(1), F.col(n))))
-    return joined.drop(n, at, size, each)
+    plan = _planned(docs, names, carry=True).where(F.col("copies") > 0)
+    return plan.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

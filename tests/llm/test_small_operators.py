@@ -195,6 +195,25 @@ def test_mix_of_one_size_and_of_nothing(spark, monkeypatch):
     assert [r["taken"] for r in mixing.mix(mix_frame(spark, [(1, None, None), (2, "", "a")])).collect()] == [0, 0]
 
 
+def test_mixed_rows_of_null_and_repeated_ids_meet_the_targets(spark):
+    rows = [(None, f"a b {i}", "abcd"[i % 4]) for i in range(400)] + [(7, f"c d {i}", "b") for i in range(100)]
+    rows += [(i, "e f g h", "c") for i in range(200)] + [(None, None, "a"), (None, "same one", "d"), (None, "same one", "d")]
+    plan = mixing.mix(mix_frame(spark, rows)).collect()
+    got = mixing.mixed_rows(mix_frame(spark, rows)).collect()
+    taken = Counter()
+    for r in got:
+        taken[r["source"]] += len(WORD.findall(r["text"] or ""))
+    targets = {}
+    for r in plan:
+        targets[r["source_size"]] = r["target"]
+    assert len(got) == sum(r["copies"] for r in plan) and sum(taken.values()) == sum(r["taken"] for r in plan)
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(WORD.findall(t or ""))
+    assert len(set(sizes.values())) == 4 and all(abs(taken[s] - targets[sizes[s]]) <= 8 for s in sizes)
+    assert Counter(map(tuple, mixing.mixed_rows(mix_frame(spark, rows).repartition(7)).collect())) == Counter(map(tuple, got))
+
+
 # ── language ──
 
 
