@@ -104,8 +104,8 @@ def assign(docs: DataFrame, tree: list[Shard], more: list[Shard] | None = None,
     empty table gives no rows; other columns are not looked at.
 
     Slots: rows of a shard fall into runs by a hash of their key, are numbered inside the run, and get the number of
-    rows in the runs before it. So no task holds a whole shard, whatever the ids are; rows of one repeated id are
-    parted by their place in the input as well.
+    rows in the runs before it. So no task holds a whole shard where ids are distinct; rows of one repeated or null
+    id are numbered in one task.
     """
     runs = max(1, -(-docs.count() // (len(tree) * ROWS_PER_RUN)))
     number = F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}/slot/"), F.coalesce(F.col("key"), F.lit("null")))), 1, 8), 16, 10)
