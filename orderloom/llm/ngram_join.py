@@ -13,7 +13,7 @@ for each n-gram. It is cut into blocks twice, and a size bound discards rows and
    row by row, from lists of the rows of each n-gram; pairs below the bound of their sizes are discarded, which is exact.
    A tile's links are handed on as trees, never as all pairs.
 
-N-grams that more than one in 500 rows hold never meet in one place: they are known beforehand, from counts of the tasks, count
+N-grams that more than one in 500 rows hold meet in one place only where a row has few others: they are known beforehand, from counts of the tasks, count
 as shared, and come last in the order. There are at most 500 times as many of them as n-grams in a mean row, whatever the corpus.
 
 An n-gram is known by 48 bits of a hash of its words, a row by 64 bits of a hash of its set. A pair of rows of 500 n-grams meets a
