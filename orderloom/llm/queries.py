@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import attribution, bpe, edit_embedding, exact_dedup, kneser_ney, langid, mixing, ngram_join, shard_tree, token_files
-from orderloom.llm.scratch import settle
+from orderloom.llm import attribution, bpe, chat, collocations, edit_embedding, exact_dedup, kneser_ney, langid, mixing, ngram_join, shard_tree, spelling, token_files
+from orderloom.llm.scratch import settle, stored
 from orderloom.llm.text import id_crc
 from orderloom.session import fresh_path, tune
 
@@ -200,3 +200,123 @@ FROM s
 @query("op7_sparse_jaccard_join", JACCARD_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(documents(spark, sf_dir), width=4, percent=85)
+
+
+#: A word of a document loses a letter where the crc32 of id and word is divisible by this.
+TYPOS = 97
+
+SPELLING_SQL = r"""
+WITH RECURSIVE crcs AS (
+  SELECT list(v ORDER BY i) AS crc
+  FROM (SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)),
+                              lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+        FROM range(256) r(i))),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents),
+d AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+h AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+           regexp_extract_all(hex(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+           lambda c, b: xor(c // 256, crc[xor(c % 256, b) + 1]))) AS h
+  FROM d, crcs),
+o AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+v AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM o WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+k AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i) AS head, substr(word, i + 2) AS tail
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+near AS MATERIALIZED (
+  SELECT a.word AS a, b.word AS b, b.n FROM k a JOIN k b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT k.word, v.word, v.n FROM k JOIN v ON v.word = k.head || k.tail
+  UNION SELECT v.word, k.word, k.n FROM k JOIN v ON v.word = k.head || k.tail),
+best AS (SELECT a, count(*) AS n_near, first(b ORDER BY n DESC, b) AS b, max(n) AS n FROM near GROUP BY a),
+f AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= 2 * v.n THEN b END AS form,
+         CASE WHEN best.n >= 2 * v.n THEN best.n END AS form_n
+  FROM v LEFT JOIN best ON best.a = v.word),
+chain(word, root, steps) AS (
+  SELECT word, word, 0 FROM f
+  UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN f ON f.word = c.root WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(root, steps) AS root FROM chain GROUP BY word)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN ends ON ends.word = f.word
+"""
+
+
+@query("op11_trie_spelling_variants", SPELLING_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir), shortest=5, least=3, typos=TYPOS)
+
+
+#: A conversation that says what the template itself is made of.
+ODD_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def _chat_sql() -> str:
+    escaped = "replace(text, chr(92), chr(92) || chr(92))"
+    for control in chat.CONTROLS:
+        c = control.decode()
+        escaped = f"replace({escaped}, '{c}', '{c[0]}' || chr(92) || '{c[1:]}')"
+    around = " ".join(f"WHEN '{r}' THEN {len(chat.CONTROLS[o]) + len(chat.CONTROLS[chat.CLOSES[o]]) + 2}" for r, o in chat.OPENS.items())
+    role = escaped.replace("replace(text,", "replace(role,")
+    other = 4 + sum(len(chat.CONTROLS[k]) for k in (chat.ROLE, chat.ROLE_END, chat.CLOSES[chat.ROLE_END]))
+    odd = ", ".join(f"({c}, {t}, '{r}', '{x}')" for c, t, r, x in ODD_CHAT)
+    return f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES {odd}) v),
+t AS (SELECT *, length({escaped}) + CASE role {around} ELSE {other} + length({role}) END AS formatted FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       CAST(sum(formatted) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+@query("op12_columnar_chat_format", _chat_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    chats = given.unionByName(spark.createDataFrame(ODD_CHAT, "conv_id long, turn long, role string, text string"))
+    return chat.digests(stored(chat.format_chats(chats), "chats"))
+
+
+COLLOCATION_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?
+-]')) AS piece
+  FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS ws FROM p),
+g AS (
+  SELECT lang, 1 AS size, unnest(ws) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: array_to_string(ws[i : i + 1], ' '))) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i : i + 2], ' '))) FROM w),
+c AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS n FROM g GROUP BY ALL),
+s AS MATERIALIZED (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS ws FROM c WHERE size > 1 AND n >= 10),
+k AS (SELECT *, unnest(range(1, size)) AS k FROM s),
+x AS (
+  SELECT k.lang, k.phrase, k.a, k, l.n AS l, r.n AS r,
+         (CAST(1000000 AS HUGEINT) * a * a) // (CAST(l.n AS HUGEINT) * r.n) AS score
+  FROM k JOIN c l ON l.lang = k.lang AND l.phrase = array_to_string(ws[1:k], ' ')
+         JOIN c r ON r.lang = k.lang AND r.phrase = array_to_string(ws[k + 1:k.size], ' ')),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (
+  SELECT lang, phrase, max(a) AS a
+  FROM (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM s WHERE size = 3)
+  GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM c WHERE size = 1 GROUP BY lang),
+z AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank, b.phrase, b.a, l, r,
+         CAST(score AS BIGINT) AS score
+  FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.a IS NULL OR 100 * i.a < 50 * b.a)
+SELECT z.lang, rank, phrase, a, l, r, t.n, score FROM z JOIN t ON t.lang = z.lang WHERE rank <= 2000
+"""
+
+
+@query("op13_toivonen_collocations", COLLOCATION_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir), longest=3, least=10, share=50, top=2000)

@@ -157,3 +157,42 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+
+
+#: Segments from this length on are copied as slices, which need no index for each byte.
+LONG_SEGMENT = 1 << 14
+
+Segment = tuple[np.ndarray, np.ndarray, np.ndarray]  # bytes, and start and length of each row's segment in them
+
+
+def constants(texts: list[bytes], which: np.ndarray) -> Segment:
+    """A segment of each row that is one of a few fixed texts."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    starts = np.cumsum(lengths) - lengths
+    return np.frombuffer(b"".join(texts) or b" ", np.uint8), starts[which], lengths[which]
+
+
+def assemble(segments: list[Segment]) -> tuple[pa.Buffer, np.ndarray, np.ndarray]:
+    """All rows' segments one after the other; where every segment starts (rows x segments) and where rows start and end."""
+    lengths = np.stack([length for _, _, length in segments], axis=1).astype(np.int64)
+    ends = np.cumsum(lengths.ravel())
+    total = int(ends[-1]) if len(ends) else 0
+    places = (ends - lengths.ravel()).reshape(lengths.shape)
+    buffer = pa.allocate_buffer(total)
+    out = view(buffer)
+    for j, (source, starts, length) in enumerate(segments):
+        short = np.flatnonzero((length > 0) & (length < LONG_SEGMENT))
+        out[ragged(places[short, j], length[short])] = source[ragged(starts[short], length[short])]
+        for i in np.flatnonzero(length >= LONG_SEGMENT):
+            out[places[i, j] : places[i, j] + length[i]] = source[starts[i] : starts[i] + length[i]]
+    return buffer, places, np.append(places[:, 0], total)
+
+
+def view(buffer: pa.Buffer) -> np.ndarray:
+    """The bytes of a buffer, without a copy."""
+    return np.frombuffer(buffer, np.uint8) if buffer.size else np.empty(0, np.uint8)
+
+
+def strings(buffer: pa.Buffer, bounds: np.ndarray) -> pa.StringArray:
+    """Bytes between bounds as an Arrow column."""
+    return pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int32)), buffer)
