@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +53,8 @@ def fill_numeric_median(df: DataFrame, columns: Sequence[str] | None = None, exa
     for c, median in medians.items():
         if median is not None:
             target = _with_midpoint(df.schema[c].dataType)
-            filled[c] = F.coalesce(F.col(f"`{c}`").cast(target), F.lit(median).cast(target))
+            value = F.lit(format(median, "f") if isinstance(median, Decimal) else median)
+            filled[c] = F.coalesce(F.col(f"`{c}`").cast(target), value.cast(target))
     return df.withColumns(filled) if filled else df
 
 

@@ -1,10 +1,13 @@
 import statistics
+from decimal import Context, Decimal
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from orderloom.operators import median
 from orderloom.operators.clean import fill_nulls, fill_numeric_median
 from orderloom.operators.median import approximate_medians, exact_medians
 
@@ -49,22 +52,76 @@ def test_few_scans_and_complete_columns_stay_as_they_are(spark):
     assert "Join" not in filled._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_clustered_values_are_sliced_again(spark, monkeypatch):
-    from orderloom.operators import median
-
+def test_clustered_values_are_searched_digit_by_digit(spark, monkeypatch):
     monkeypatch.setattr(median, "FEW_VALUES", 3)
-    monkeypatch.setattr(median, "BRACKET", 0.5)
+    monkeypatch.setattr(median, "DIGITS", 16)
     df = spark.range(4001).select((F.col("id") * F.col("id") * 1e-7 + F.when(F.col("id") == 4000, 1e9).otherwise(0.0)).alias("x"))
-    assert _medians(df, ["x"])["x"] == pytest.approx(2000 * 2000 * 1e-7)
+    assert _medians(df, ["x"])["x"] == 2000 * 2000 * 1e-7
+
+
+def test_whole_numbers_beyond_doubles_are_told_apart(spark):
+    df = spark.createDataFrame([(9007199254740993,), (9007199254740993,), (9007199254740993,), (None,)], "n bigint")
+    assert {r["n"] for r in fill_numeric_median(df).collect()} == {Decimal("9007199254740993.0")}
+    even = spark.createDataFrame([(9007199254740993,), (9007199254740994,), (None,)], "n bigint")
+    assert Decimal("9007199254740993.5") in {r["n"] for r in fill_numeric_median(even).collect()}
 
 
-def test_missed_bracket_is_widened(spark, monkeypatch):
-    from orderloom.operators import median
+def test_long_decimals_are_filled_whole(spark):
+    big = Decimal("12345678901234.123456789")
+    df = spark.createDataFrame([(big,), (big,), (None,), (Decimal("-0.000000001"),)], "x decimal(25,9)")
+    assert [r["x"] for r in fill_numeric_median(df).collect()] == [big, big, big, Decimal("-0.000000001")]
 
-    sketched = median._sketched
-    monkeypatch.setattr(median, "_sketched", lambda c, w: sketched(c, w) if w > 0.01 else F.struct(
-        F.array(F.lit(-9.0), F.lit(-8.0)).alias("around"), F.count(c).alias("n"), F.lit(1).alias("nulls")).alias(c))
-    assert _medians(spark.range(11).select(F.col("id").cast("double").alias("x")), ["x"])["x"] == 5.0
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.integers(-(2**63), 2**63 - 1)),
+            st.one_of(st.none(), st.integers(-(10**38) + 1, 10**38 - 1), st.integers(-9, 9)),
+            st.one_of(st.none(), st.integers(-(10**25) + 1, 10**25 - 1)),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_selection_over_the_whole_span_of_a_type(spark, rows):
+    small, few = median.DIGITS, median.FEW_VALUES
+    median.DIGITS, median.FEW_VALUES = 64, 2
+    try:
+        scaled = [(a, None if b is None else Decimal(b).scaleb(-20, Context(prec=60)), None if c is None else Decimal(c).scaleb(-9, Context(prec=60))) for a, b, c in rows]
+        found = median.median_values(spark.createDataFrame(scaled, "a bigint, b decimal(38,20), c decimal(25,9)"), ["a", "b", "c"])
+    finally:
+        median.DIGITS, median.FEW_VALUES = small, few
+    for i, c in enumerate("abc"):
+        known = sorted(Fraction(r[i]) for r in scaled if r[i] is not None)
+        if known:
+            assert Fraction(found[c]) == (known[(len(known) - 1) // 2] + known[len(known) // 2]) / 2
+        else:
+            assert found[c] is None
+
+
+def test_input_is_read_three_times_at_most(spark, monkeypatch):
+    monkeypatch.setattr(median, "FEW_VALUES", 2)
+    monkeypatch.setattr(median, "DIGITS", 4)
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def seen(x):
+        reads.add(1)
+        return x
+
+    seen = seen.asNondeterministic()
+    df = spark.range(500, numPartitions=2).select(seen(F.col("id")).alias("n")).select((F.col("n") * 7919 % 104729).alias("n"), (F.col("n") * 0.5).alias("x"))
+    expected = sorted(i * 7919 % 104729 for i in range(500))
+    assert median.median_values(df, ["n", "x"]) == {"n": Decimal(expected[249] + expected[250]) / 2, "x": 124.75}
+    assert reads.value <= 3 * 500
+
+
+def test_infinite_values_and_nan(spark):
+    inf, nan = float("inf"), float("nan")
+    assert _medians(spark.createDataFrame([(inf,), (-inf,), (1.0,), (nan,)], "x double"), ["x"])["x"] == 1.0
+    assert _medians(spark.createDataFrame([(inf,), (inf,), (1.0,)], "x double"), ["x"])["x"] == inf
+    assert _medians(spark.createDataFrame([(5e-324,), (0.0,), (5e-324,)], "x double"), ["x"])["x"] == 5e-324
 
 
 def test_fill_keeps_values_and_fills_with_midpoint(spark):
