@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
+from pyspark.sql.types import AtomicType, DoubleType, FloatType, NumericType, StringType
 
 from orderloom.functions.measures import distinct_count
 from orderloom.functions.rounding import round_exact, round_half_away
@@ -22,44 +23,70 @@ def _name(c: str) -> Column:
 
 
 def profile_columns(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Per column: type, nulls, null %, number of different values, smallest value as sample.
+    """Per column: type, nulls, null %, number of different values, smallest value (as text) as sample.
 
-    The table is read once as narrow (column, value) pairs. Equal pairs combine on the map
-    side, so neither many columns nor one dominant value widens the shuffle. With
-    ``approximate`` the different values are sketched in one aggregate without any shuffle
-    of values.
+    Every column is folded to its different values by itself, so no row is repeated for the others and a scan of a columnar
+    table reads each column once; equal values combine on the map side, so a dominant one does not matter. With
+    ``approximate`` the different values are sketched, all columns in one pass.
     """
-    types = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
     if approximate:
-        stats = df.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(c).alias("column"), _as_text(df, c).alias("value"))
-                        for c in df.columns
-                    ]
-                )
+        columns = [
+            F.struct(
+                *_described(df, c),
+                F.count_if(_name(c).isNull()).alias("nulls"),
+                F.approx_count_distinct(_comparable(df, c)).alias("unique_values"),
+                F.min(_as_text(df, c)).alias("sample"),
+                F.count(F.lit(1)).alias("rows"),
             )
-        )
-        per_column = stats.groupBy("column").agg(
-            F.count_if(F.col("value").isNull()).alias("nulls"),
-            F.approx_count_distinct("value").alias("unique_values"),
-            F.min("value").alias("sample"),
-            F.count(F.lit(1)).alias("rows"),
-        )
-    else:
-        text = df.select(*[_as_text(df, c).alias(c) for c in df.columns])
-        pairs = text.unpivot([], [_name(c) for c in df.columns], "column", "value")
-        counted = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        per_column = counted.groupBy("column").agg(
-            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
-            F.count("value").alias("unique_values"),
-            F.min("value").alias("sample"),
-            F.sum("n").alias("rows"),
-        )
-    return per_column.select(
+            for c in df.columns
+        ]
+        return _presented(df.select(F.array(*columns).alias("all")).select(F.inline("all")))
+    counts = df.agg(*[F.count(_name(c)).alias(f"_{i}") for i, c in enumerate(df.columns)], F.count(F.lit(1)).alias("rows"))
+    filled = counts.select(
+        "rows", F.inline(F.array(*[F.struct(*_described(df, c), F.col(f"_{i}").alias("filled")) for i, c in enumerate(df.columns)]))
+    )
+    kinds = [
+        df.select(_comparable(df, c).alias("value"))
+        .where("value IS NOT NULL")
+        .distinct()
+        .agg(F.count(F.lit(1)).alias("unique_values"), F.min(F.col("value").cast("string")).alias("sample"))
+        .select(F.lit(c).alias("column"), "unique_values", "sample")
+        for c in df.columns
+    ]
+    found = filled.join(reduce(DataFrame.union, kinds), "column")
+    return _presented(found.withColumn("nulls", F.col("rows") - F.col("filled")))
+
+
+def profile_values(df: DataFrame) -> DataFrame:
+    """``column, dtype, value, n``: the different values of every column as text, with their rows. Those of several batches
+    are merged by :func:`profile_of`."""
+    values = [
+        df.groupBy(_comparable(df, c).alias("value")).agg(F.count(F.lit(1)).alias("n")).select(*_described(df, c), F.col("value").cast("string").alias("value"), "n")
+        for c in df.columns
+    ]
+    return reduce(DataFrame.union, values)
+
+
+def profile_of(values: DataFrame) -> DataFrame:
+    """The profile of everything whose values were stored; exact, and without a look at the rows."""
+    merged = values.groupBy("column", "dtype", "value").agg(F.sum("n").alias("n"))
+    per_column = merged.groupBy("column", "dtype").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
+        F.count("value").alias("unique_values"),
+        F.min("value").alias("sample"),
+        F.sum("n").alias("rows"),
+    )
+    return _presented(per_column)
+
+
+def _described(df: DataFrame, c: str) -> list[Column]:
+    return [F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype")]
+
+
+def _presented(found: DataFrame) -> DataFrame:
+    return found.select(
         "column",
-        types[F.col("column")].alias("dtype"),
+        "dtype",
         "nulls",
         _percent(F.col("nulls"), F.col("rows")).alias("null_pct"),
         "unique_values",
@@ -67,11 +94,16 @@ def profile_columns(df: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
+def _comparable(df: DataFrame, c: str) -> Column:
+    """The column in a type whose values can be grouped; equal values have one text."""
+    dtype = df.schema[c].dataType
+    if isinstance(dtype, (DoubleType, FloatType)):
+        return _name(c) + F.lit(0.0)  # -0.0 and 0.0 are one value
+    return _name(c) if isinstance(dtype, AtomicType) else _name(c).cast("string")
+
+
 def _as_text(df: DataFrame, c: str) -> Column:
-    value = _name(c)
-    if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
-        value = value + F.lit(0.0)  # -0.0 and 0.0 are one value
-    return value.cast("string")
+    return _comparable(df, c).cast("string")
 
 
 # The raw columns each subject area expects.

@@ -2,8 +2,11 @@ import os
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from orderloom import testdata
 from orderloom.operators import profile
+from orderloom.plans import warehouse
 from orderloom.sources import readers, writers
 
 
@@ -101,6 +104,26 @@ def test_profile_sketch_agrees_on_few_values(spark, star):
     assert abs(rough["order_id"]["unique_values"] / exact["order_id"]["unique_values"] - 1) < 0.15
 
 
+def test_profile_repeats_no_row_and_merges_batches(spark, sf, tmp_path):
+    raw = testdata.raw_lines(spark, sf).drop("Order Item Id")
+    path = str(tmp_path / "raw")
+    writers.write_table(raw.select(*raw.columns, F.array("`Order Id`").alias("list"), F.when(F.col("Order Id") % 2 == 0, F.lit(-0.0)).otherwise(F.lit(0.0)).alias("zero")), path)
+    raw = spark.read.parquet(path)
+    whole = profile.profile_columns(raw)
+    assert "Expand" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    folder = str(tmp_path / "wh")
+    for batch in range(3):
+        warehouse.store_profile(spark, folder, raw.where(f"`Order Id` % 3 = {batch}"), f"daily-{batch}")
+    warehouse.store_profile(spark, folder, raw.where("`Order Id` % 3 = 1"), "daily-1")  # again
+    stored = warehouse.stored_profile(spark, folder)
+    assert path not in stored._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, whole.collect()))
+    expected = raw.agg(F.count_distinct("Order City"), F.count_if(F.col("Order City").isNull()), F.min("Order City")).first()
+    city = whole.where("column = 'Order City'").first()
+    assert (city["unique_values"], city["nulls"], city["sample"]) == tuple(expected)
+    assert whole.where("column = 'zero'").first()["unique_values"] == 1
+
+
 def test_numbers_of_raw_files_arrive_whole(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text(
