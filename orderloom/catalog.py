@@ -30,7 +30,7 @@ from orderloom.schemas import (
     WAREHOUSE_TABLES,
 )
 from orderloom.session import fresh_path, tune
-from orderloom.sources import readers, writers
+from orderloom.sources import readers, snapshots, writers
 from orderloom.streaming.append import append_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,13 +272,13 @@ query("revenue_by_quarter")(_on_report(reports.revenue_by_quarter, "quarter"))
 
 
 def _check(name: str) -> Query:
-    return _on_report(lambda base: quality.health_report(base, [name]))
+    return _on_warehouse(lambda star: quality.warehouse_health(star, [name]))
 
 
 for _name in quality.CHECKS:
     query(f"dq_{_name}")(_check(_name))
-query("dq_health_report")(_on_report(quality.health_report))
-query("dq_scorecard")(_on_report(quality.scorecard))
+query("dq_health_report")(_on_warehouse(quality.warehouse_health))
+query("dq_scorecard")(_on_warehouse(quality.warehouse_scorecard))
 query("dq_pk_unique")(_on_warehouse(quality.key_violations))
 query("dq_fk_orphans")(_on_warehouse(quality.foreign_key_orphans))
 
@@ -445,7 +445,7 @@ def _read_back_csv(spark: SparkSession, folder: str, names: Sequence[str]) -> Da
     return writers.readback({n: read(f"{folder}/{n}") for n in names})
 
 
-query("warehouse_load")(lambda spark, sf: writers.load_warehouse(spark, _tables(spark, sf), fresh_path(spark, "load")))
+query("warehouse_load")(lambda spark, sf: snapshots.load_warehouse(spark, _tables(spark, sf), fresh_path(spark, "load")))
 
 
 def _logged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -511,7 +511,7 @@ def _daily(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """A warehouse after one daily batch, and its export folder."""
     folder, export = fresh_path(spark, "daily"), fresh_path(spark, "export")
     warehouse.build_warehouse(spark, testdata.order_lines(spark, sf_dir), folder)
-    existing = spark.read.parquet(f"{folder}/fact_orders")
+    existing = warehouse.open_warehouse(spark, folder)["fact_orders"]
     new = batches.assign_next_keys(_new_lines(spark, sf_dir), existing)
     warehouse.run_daily(spark, folder, new, 1, export)
     return folder, export

@@ -175,7 +175,8 @@ def money_where(label: str, condition: Callable[[], Column], col: str, name: str
     return Measure(name, (part,), lambda: round_exact(F.col(part.name), 2))
 
 
-def _parts(measures: Sequence[Measure]) -> list[Part]:
+def parts_of(measures: Sequence[Measure]) -> list[Part]:
+    """The partial aggregates that some measures need, each once."""
     unique: dict[str, Part] = {}
     for m in measures:
         for p in m.parts:
@@ -185,7 +186,7 @@ def _parts(measures: Sequence[Measure]) -> list[Part]:
 
 def fold(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """Partial aggregates per key."""
-    aggs = [_STEPS[p.kind][0](p.expr()).alias(p.name) for p in _parts(measures)]
+    aggs = [_STEPS[p.kind][0](p.expr()).alias(p.name) for p in parts_of(measures)]
     return df.groupBy(*keys).agg(*aggs)
 
 
@@ -194,8 +195,13 @@ def merge(folded: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -
     for m in measures:
         if not m.mergeable:
             raise ValueError(f"{m.name} counts distinct values and cannot be merged")
-    aggs = [_STEPS[p.kind][1](p.name).alias(p.name) for p in _parts(measures)]
-    return folded.groupBy(*keys).agg(*aggs)
+    return merge_parts(folded, keys, parts_of(measures))
+
+
+def merge_parts(folded: DataFrame, keys: Sequence[str], parts: Sequence[Part]) -> DataFrame:
+    """Combine the given partial aggregates into fewer keys; without any, only the keys are left."""
+    aggs = [_STEPS[p.kind][1](p.name).alias(p.name) for p in parts]
+    return folded.groupBy(*keys).agg(*aggs) if aggs else folded.select(*keys).distinct()
 
 
 def finish(folded: DataFrame, keys: Sequence[str] | Mapping[str, str], measures: Sequence[Measure]) -> DataFrame:

@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.session import fresh_path
+
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One row per key: the first by ``order``, then by all output columns (nulls first).
@@ -30,15 +32,38 @@ def number_rows(df: DataFrame, order: Sequence[Column], buckets: Sequence[Column
     total of bucket sizes. The one unpartitioned window therefore sees one row per
     bucket, never the rows themselves.
     """
+    rows, names = _bucketed(df, buckets)
+    sizes = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_size"))
+    return _placed(_ranked(rows, names, order), sizes, names, df.columns)
+
+
+def number_rows_once(df: DataFrame, order: Sequence[Column], buckets: Sequence[Column]) -> DataFrame:
+    """As :func:`number_rows`, for input that must not be evaluated twice: costly, or with other rows the next time.
+
+    The rows are written with their rank inside the bucket, the only job that reads the input; bucket sizes are the
+    largest ranks of what was written. Runs at once.
+    """
+    rows, names = _bucketed(df, buckets)
+    ranked = _ranked(rows, names, order)
+    path = fresh_path(df.sparkSession, "ranked-rows")
+    ranked.write.parquet(path)
+    stored = df.sparkSession.read.schema(ranked.schema).parquet(path)
+    sizes = stored.groupBy(*names).agg(F.max("_pos").cast("long").alias("_size"))
+    return _placed(stored, sizes, names, df.columns)
+
+
+def _bucketed(df: DataFrame, buckets: Sequence[Column]) -> tuple[DataFrame, list[str]]:
     names = [f"_b{i}" for i in range(len(buckets))]
-    rows = df.select("*", *[b.alias(n) for b, n in zip(buckets, names)])
+    return df.select("*", *[b.alias(n) for b, n in zip(buckets, names)]), names
+
+
+def _ranked(rows: DataFrame, names: list[str], order: Sequence[Column]) -> DataFrame:
+    return rows.withColumn("_pos", F.row_number().over(Window.partitionBy(*names).orderBy(*order)))
+
+
+def _placed(ranked: DataFrame, sizes: DataFrame, names: list[str], columns: Sequence[str]) -> DataFrame:
+    """The rank inside a bucket behind the rows of all buckets before it; one row per bucket meets in a window."""
     before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .select(*[F.col(n).alias(f"_s{n}") for n in names], F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    )
-    inside = Window.partitionBy(*names).orderBy(*order)
-    ranked = rows.withColumn("_pos", F.row_number().over(inside))
+    starts = sizes.select(*[F.col(n).alias(f"_s{n}") for n in names], F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     same_bucket = reduce(and_, [F.col(n).eqNullSafe(F.col(f"_s{n}")) for n in names])
-    return ranked.join(starts, same_bucket).select(*df.columns, (F.col("_start") + F.col("_pos")).alias("_number"))
+    return ranked.join(starts, same_bucket).select(*columns, (F.col("_start") + F.col("_pos")).alias("_number"))

@@ -7,66 +7,86 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.functions.measures import distinct, finish, fold_through, lines, mean, money, rate, summarize
+from orderloom.functions.measures import distinct, finish, lines, mean, money, rate, summarize
 from orderloom.functions.rounding import round_half_away
+from orderloom.operators.parts import PARTS, Grouping, folded, united
 
 Star = Mapping[str, DataFrame]
 
 
+TOTALS = Grouping(
+    None,
+    (),
+    (
+        money("sales", "total_revenue"),
+        money("profit", "total_profit"),
+        mean("profit_margin_pct", "avg_margin_pct"),
+        distinct("order_id", "total_orders"),
+        distinct("customer_id", "total_customers"),
+    ),
+)
+STATUS = Grouping(None, ("delivery_status",), (lines("order_count"),))
+MARKETS = Grouping(
+    "dim_geography",
+    ("market",),
+    (money("sales", "total_revenue"), mean("profit_margin_pct", "avg_margin"), distinct("order_id", "total_orders")),
+)
+CATEGORIES = Grouping(
+    "dim_products", ("category",), (money("sales", "total_revenue"), money("profit", "total_profit"), lines("order_lines"))
+)
+SEGMENTS = Grouping(
+    "dim_customers",
+    ("segment",),
+    (distinct("order_id", "total_orders"), money("sales", "total_revenue"), mean("profit_margin_pct", "avg_margin_pct")),
+)
+YEARS = Grouping(
+    "dim_date",
+    ("year",),
+    (
+        distinct("order_id", "total_orders"),
+        money("sales", "total_revenue"),
+        rate("on_time_flag", "on_time_rate_pct"),
+        mean("profit_margin_pct", "avg_margin_pct"),
+        money("revenue_at_risk", "revenue_at_risk"),
+    ),
+)
+#: What the checks need of a batch, by grouping.
+GROUPINGS = united([TOTALS, STATUS, MARKETS, CATEGORIES, SEGMENTS, YEARS])
+
+
+def _figures(star: Star, g: Grouping) -> DataFrame:
+    """The measures of a grouping, from the stored parts of all batches or from the fact."""
+    if PARTS not in star and not g.keys:
+        return summarize(star["fact_orders"], [], g.measures)
+    return finish(folded(star, g.through, g.keys, g.measures), g.keys, g.measures)
+
+
 def totals(star: Star) -> DataFrame:
-    return summarize(
-        star["fact_orders"],
-        [],
-        [
-            money("sales", "total_revenue"),
-            money("profit", "total_profit"),
-            mean("profit_margin_pct", "avg_margin_pct"),
-            distinct("order_id", "total_orders"),
-            distinct("customer_id", "total_customers"),
-        ],
-    )
+    return _figures(star, TOTALS)
 
 
 def delivery_status_share(star: Star) -> DataFrame:
     """Lines per delivery status and their share; the window sees one row per status."""
-    counts = summarize(star["fact_orders"], ["delivery_status"], [lines("order_count")])
+    counts = _figures(star, STATUS)
     all_lines = F.sum("order_count").over(Window.partitionBy())
     share = F.col("order_count").cast("double") * F.lit(100.0) / all_lines.cast("double")
     return counts.withColumn("pct", round_half_away(share, 2)).orderBy(F.desc("order_count"), "delivery_status")
 
 
 def revenue_by_market(star: Star) -> DataFrame:
-    measures = [money("sales", "total_revenue"), mean("profit_margin_pct", "avg_margin"), distinct("order_id", "total_orders")]
-    folded = fold_through(star["fact_orders"], "geo_id", star["dim_geography"], ["market"], measures)
-    return finish(folded, ["market"], measures).orderBy(F.desc("total_revenue"), "market")
+    return _figures(star, MARKETS).orderBy(F.desc("total_revenue"), "market")
 
 
 def top_categories(star: Star) -> DataFrame:
-    measures = [money("sales", "total_revenue"), money("profit", "total_profit"), lines("order_lines")]
-    folded = fold_through(star["fact_orders"], "product_id", star["dim_products"], ["category"], measures)
-    return finish(folded, ["category"], measures).orderBy(F.desc("total_revenue"), "category").limit(5)
+    return _figures(star, CATEGORIES).orderBy(F.desc("total_revenue"), "category").limit(5)
 
 
 def segment_performance(star: Star) -> DataFrame:
-    measures = [
-        distinct("order_id", "total_orders"),
-        money("sales", "total_revenue"),
-        mean("profit_margin_pct", "avg_margin_pct"),
-    ]
-    folded = fold_through(star["fact_orders"], "customer_id", star["dim_customers"], ["segment"], measures)
-    return finish(folded, ["segment"], measures).orderBy(F.desc("total_revenue"), "segment")
+    return _figures(star, SEGMENTS).orderBy(F.desc("total_revenue"), "segment")
 
 
 def yearly_summary(star: Star) -> DataFrame:
-    measures = [
-        distinct("order_id", "total_orders"),
-        money("sales", "total_revenue"),
-        rate("on_time_flag", "on_time_rate_pct"),
-        mean("profit_margin_pct", "avg_margin_pct"),
-        money("revenue_at_risk", "revenue_at_risk"),
-    ]
-    folded = fold_through(star["fact_orders"], "date_id", star["dim_date"], ["year"], measures)
-    return finish(folded, ["year"], measures).orderBy("year")
+    return _figures(star, YEARS).orderBy("year")
 
 
 def supplier_summary(star: Star) -> DataFrame:

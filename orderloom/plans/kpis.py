@@ -18,8 +18,6 @@ from orderloom.functions.measures import (
     complement_rate,
     distinct,
     finish,
-    fold,
-    fold_through,
     largest,
     lines,
     lines_where,
@@ -33,7 +31,7 @@ from orderloom.functions.measures import (
     smallest,
     units,
 )
-from orderloom.schemas import PRIMARY_KEYS
+from orderloom.operators.parts import Grouping, folded, grouping_name, united
 
 
 @dataclass(frozen=True)
@@ -312,23 +310,21 @@ SUMMARY_LABELS = {
 def kpi(star: Mapping[str, DataFrame], name: str) -> DataFrame:
     """One KPI result table by name."""
     spec = KPIS[name]
-    return _present(spec, _folded(star, spec.through, spec.keys, spec.measures))
+    return _present(spec, folded(star, spec.through, spec.keys, spec.measures))
+
+
+#: What the KPIs need of a batch, by grouping.
+GROUPINGS = united([Grouping(spec.through, tuple(spec.keys), tuple(spec.measures)) for spec in KPIS.values()])
 
 
 def shared_parts(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """One table of partial aggregates per grouping, with all its KPIs need.
 
     KPIs that look through the same dimension by the same keys share one pass over the
-    fact; so the nine overall tables cost one scan. The tables have as many rows as the
-    grouping has groups.
+    fact; so the nine overall tables cost one scan. Where the star holds the parts of its batches, those are merged
+    and the fact is not read. The tables have as many rows as the grouping has groups.
     """
-    groups: dict[str, list[Kpi]] = {}
-    for spec in KPIS.values():
-        groups.setdefault(_grouping(spec), []).append(spec)
-    return {
-        name: _folded(star, specs[0].through, specs[0].keys, [m for s in specs for m in s.measures])
-        for name, specs in groups.items()
-    }
+    return {name: folded(star, g.through, g.keys, g.measures) for name, g in GROUPINGS.items()}
 
 
 def results_from_parts(parts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -337,7 +333,7 @@ def results_from_parts(parts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _grouping(spec: Kpi) -> str:
-    return "_".join([spec.through or "fact", *spec.keys])
+    return grouping_name(spec.through, spec.keys)
 
 
 def summary_vertical(star: Mapping[str, DataFrame]) -> DataFrame:
@@ -348,12 +344,6 @@ def summary_vertical(star: Mapping[str, DataFrame]) -> DataFrame:
     return figures.unpivot([], list(SUMMARY_LABELS), "kpi", "value").select(labels[F.col("kpi")].alias("label"), "value")
 
 
-def _folded(star, through, keys, measures) -> DataFrame:
-    if through is None:
-        return fold(star["fact_orders"], list(keys), measures)
-    return fold_through(star["fact_orders"], PRIMARY_KEYS[through], star[through], list(keys), measures)
-
-
 def _present(spec: Kpi, folded: DataFrame) -> DataFrame:
     names = {k: (spec.rename or {}).get(k, k) for k in spec.keys}
     rows = finish(folded, names, spec.measures)

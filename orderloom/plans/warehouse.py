@@ -5,9 +5,9 @@ anything else uses it. That cuts the lineage at a table that survives a lost exe
 gives Spark real sizes for its join choices, and lets every KPI read a few columns of one
 fact instead of repeating the joins below it.
 
-Layout of a warehouse folder: ``lines`` and ``fact_orders`` (by batch and order year),
-``rollup_cube`` and ``supplier_products`` (by batch), five dimensions, four rollups,
-``pipeline_runs``.
+A warehouse folder holds versions, see ``sources.snapshots``: ``lines``, ``fact_orders`` and the report base (by batch and
+order year), ``rollup_cube``, ``supplier_products`` and the parts of the KPIs (by batch), five dimensions, four rollups. The
+log ``pipeline_runs`` lies beside them.
 """
 
 from __future__ import annotations
@@ -23,7 +23,10 @@ from orderloom.operators import star as st
 from orderloom.operators.clean import clean_lines, date_parts, narrow_types, split_customers, split_orders, split_products
 from orderloom.operators.derive import enrich_orders
 from orderloom.operators.keys import number_rows
-from orderloom.plans import kpis
+from orderloom.operators.profile import profile_of, profile_values
+from orderloom.operators.quality import batch_quality
+from orderloom.plans import checks, kpis
+from orderloom.operators.parts import DISTINCTS, PARTS, STORED, batch_distincts, batch_parts, united
 from orderloom.plans.reports import REPORT_BASE, report_filter
 from orderloom.plans.rollups import (
     refreshed_from_cube,
@@ -35,38 +38,34 @@ from orderloom.plans.rollups import (
 from orderloom.schemas import CUSTOMER_COLUMNS, GEO_COLUMNS, PRIMARY_KEYS, PRODUCT_COLUMNS, WAREHOUSE_TABLES
 from orderloom.session import drop_path, fresh_path, run_together
 from orderloom.sources.readers import read_raw_csv, read_raw_text, read_tables, unreadable_numbers
-from orderloom.sources.writers import (
-    FIRST_BATCH,
-    append_fact,
-    export_refreshed,
-    log_run,
-    replace_table,
-    save_kpis,
-    write_batch,
-    write_orders,
-    write_table,
-)
+from orderloom.sources.snapshots import Changes, newest, open_tables, put_orders
+from orderloom.sources.writers import FIRST_BATCH, check_contract, export_refreshed, log_run, save_kpis, write_table
 
 RUN_LOG_TABLE = "pipeline_runs"
+UNREADABLE, PROFILE = "unreadable_numbers", "profile_values"
+KPI_GROUPINGS = united([*kpis.GROUPINGS.values(), *checks.GROUPINGS.values()])
 
 
 def build_warehouse(spark: SparkSession, lines: DataFrame, folder: str) -> dict[str, DataFrame]:
     """First load; replaces what the folder holds. ``lines`` are wide clean order lines with customer
     and product columns."""
-    wide = _store_lines(spark, enrich_orders(date_parts(lines)), folder, FIRST_BATCH)
-    dims = st.build_dimensions(split_orders(wide), split_customers(wide), split_products(wide))
-    run_together([*_writes(dims, folder), *_part_writes(wide, folder, FIRST_BATCH)])
-    stored = read_tables(spark, folder, PRIMARY_KEYS)
-    fact = st.build_fact(wide, stored["dim_suppliers"], stored["dim_geography"])
-    rollup_tables = rollups_from_cube(*_parts(spark, folder))
-    run_together([lambda: append_fact(fact, f"{folder}/fact_orders", FIRST_BATCH), *_writes(rollup_tables, folder)])
-    _store_report_base(spark, folder, FIRST_BATCH)
+    with Changes(spark, folder, afresh=True) as new:
+        _first_load(new, lines)
+        new.publish()
     return open_warehouse(spark, folder)
 
 
+def _first_load(new: Changes, lines: DataFrame) -> None:
+    wide, _ = _put_lines(new, enrich_orders(date_parts(lines)), str(FIRST_BATCH))
+    dims = st.build_dimensions(split_orders(wide), split_customers(wide), split_products(wide))
+    run_together([*_puts(new, dims), *_part_puts(new, wide, str(FIRST_BATCH))])
+    _put_fact(new, wide, str(FIRST_BATCH))
+
+
 def open_warehouse(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The tables of a written warehouse, the wide ``lines`` they came from, and the ``report_base``."""
-    return read_tables(spark, folder, [*WAREHOUSE_TABLES, "lines", REPORT_BASE])
+    """The tables of the newest version of a warehouse, the wide ``lines`` they came from, the ``report_base`` and the
+    stored parts of the KPIs. They stay as they are while later batches are added."""
+    return open_tables(spark, folder, newest(spark, folder), [*WAREHOUSE_TABLES, "lines", REPORT_BASE, *STORED])
 
 
 def append_lines(spark: SparkSession, folder: str, batch: DataFrame, batch_id: str) -> tuple[int, int]:
@@ -76,34 +75,48 @@ def append_lines(spark: SparkSession, folder: str, batch: DataFrame, batch_id: s
     customers and products that are new get their dimension rows. Returns (rows read, rows
     added to the fact). Work grows with the batch, not with the fact: the rollups are
     merged from the cubes of all batches. Repeating a batch id replaces that batch. Lines of types
-    that the stored ones cannot hold are refused before anything is written.
+    that the stored ones cannot hold are refused before anything is written. All tables change at once, with the
+    version that is published last; after an error, or next to another writer who was first, nothing has changed.
     """
+    with Changes(spark, folder) as new:
+        counts = _append(new, batch, batch_id)
+        new.publish()
+    return counts
+
+
+def _append(new: Changes, batch: DataFrame, batch_id: str) -> tuple[int, int]:
     if not isinstance(batch_id, str) or batch_id.isdigit():
         raise ValueError("a batch id names its source, such as daily-7; number 0 is the first load")
-    wide = _store_lines(spark, enrich_orders(date_parts(batch)), folder, batch_id)
-    _extend_dimensions(spark, wide, folder)
-    stored = read_tables(spark, folder, ["dim_suppliers", "dim_geography"])
-    fact = st.build_fact(wide, stored["dim_suppliers"], stored["dim_geography"])
-    append = [lambda: append_fact(fact, f"{folder}/fact_orders", batch_id)]
-    added = run_together([*append, *_part_writes(wide, folder, batch_id)])[0]
-    _store_report_base(spark, folder, batch_id)
-    fresh = rollups_from_cube(*_parts(spark, folder))
-    run_together([partial(replace_table, df, f"{folder}/{name}") for name, df in fresh.items()])
-    return wide.count(), added
-
-
-def run_batch(spark: SparkSession, folder: str, batch: DataFrame, batch_id: str, export_folder: str | None) -> None:
+    if not new.tables:
+        raise FileNotFoundError(f"no warehouse in {new.folder}")
+    wide, read = _put_lines(new, enrich_orders(date_parts(batch)), batch_id)
+    _extend_dimensions(new, wide, batch_id)
+    run_together(_part_puts(new, wide, batch_id))
+    return read, _put_fact(new, wide, batch_id)
+
+
+def run_batch(
+    spark: SparkSession,
+    folder: str,
+    batch: DataFrame | Callable[[Changes], DataFrame],
+    batch_id: str,
+    export_folder: str | None,
+) -> None:
     """Append, refresh, export, log. A failure is logged as FAILED and raised again.
 
-    Exported are the new batch's fact rows and the refreshed monthly and regional figures.
+    Exported are the new batch's fact rows and the refreshed monthly and regional figures. ``batch`` may be a function
+    that reads the lines; what it stages is published with the batch, and its failure is logged like any other.
     """
     started, log = time.monotonic(), f"{folder}/{RUN_LOG_TABLE}"
     read = added = 0
     try:
-        read, added = append_lines(spark, folder, batch, batch_id)
+        with Changes(spark, folder) as new:
+            read, rows = _append(new, batch(new) if callable(batch) else batch, batch_id)
+            new.publish()
+        added = rows
         if export_folder:
-            new = spark.read.parquet(f"{folder}/fact_orders/batch_id={batch_id}")
-            export_refreshed(spark, {"fact_orders": new, **refreshed_from_cube(*_parts(spark, folder))}, export_folder)
+            facts = new.batch("fact_orders", batch_id)
+            export_refreshed(spark, {"fact_orders": facts, **refreshed_from_cube(*_parts(new))}, export_folder)
     except Exception as e:
         log_run(spark, log, "FAILED", read, added, "fact_orders", time.monotonic() - started, str(e))
         raise
@@ -116,11 +129,34 @@ def run_daily(spark: SparkSession, folder: str, batch: DataFrame, batch_id: int,
 
 
 def run_daily_file(spark: SparkSession, folder: str, raw_path: str, batch_id: int, export_folder: str | None) -> None:
-    """The daily cycle from a raw CSV file: read, clean, append, refresh, export, log."""
-    aside = fresh_path(spark, "daily-lines")
-    write_table(narrow_types(clean_lines(read_raw_csv(spark, raw_path))), aside)
-    run_daily(spark, folder, spark.read.parquet(aside), batch_id, export_folder)
-    drop_path(spark, aside)
+    """The daily cycle from a raw CSV file: read, clean, append, refresh, export, log.
+
+    Fields that hold something but no number are counted in the table ``unreadable_numbers``. A file that cannot be read or
+    holds a number that does not fit is a FAILED run in the log. Nulls are filled from the file alone.
+    """
+    name, aside = f"daily-{batch_id}", fresh_path(spark, "daily-lines")
+
+    def lines(new: Changes) -> DataFrame:
+        new.put_batch(UNREADABLE, unreadable_numbers(read_raw_text(spark, raw_path)), name)
+        write_table(narrow_types(clean_lines(read_raw_csv(spark, raw_path))), aside)
+        return spark.read.parquet(aside)
+
+    try:
+        run_batch(spark, folder, lines, name, export_folder)
+    finally:
+        drop_path(spark, aside)
+
+
+def store_profile(spark: SparkSession, folder: str, raw: DataFrame, batch_id: str) -> None:
+    """Keep the different values of a batch of raw lines; the profile of all batches is read off them."""
+    with Changes(spark, folder) as new:
+        new.put_batch(PROFILE, profile_values(raw), batch_id)
+        new.publish()
+
+
+def stored_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile of all batches of raw lines that were stored; no raw line is read again."""
+    return profile_of(open_tables(spark, folder, newest(spark, folder), [PROFILE])[PROFILE])
 
 
 def processed_tables(lines: DataFrame) -> dict[str, DataFrame]:
@@ -136,9 +172,16 @@ def processed_tables(lines: DataFrame) -> dict[str, DataFrame]:
 
 def run_etl(spark: SparkSession, raw_path: str, folder: str) -> dict[str, DataFrame]:
     """Raw CSV to warehouse. Fields that hold something but no number are counted in ``unreadable_numbers``."""
-    write_table(unreadable_numbers(read_raw_text(spark, raw_path)), f"{folder}/unreadable_numbers")
-    write_table(narrow_types(clean_lines(read_raw_csv(spark, raw_path))), f"{folder}/lines_clean")
-    return build_warehouse(spark, spark.read.parquet(f"{folder}/lines_clean"), folder)
+    aside = fresh_path(spark, "lines-clean")
+    try:
+        with Changes(spark, folder, afresh=True) as new:
+            new.put_batch(UNREADABLE, unreadable_numbers(read_raw_text(spark, raw_path)), FIRST_BATCH)
+            write_table(narrow_types(clean_lines(read_raw_csv(spark, raw_path))), aside)
+            _first_load(new, spark.read.parquet(aside))
+            new.publish()
+    finally:
+        drop_path(spark, aside)
+    return open_warehouse(spark, folder)
 
 
 def run_kpis(spark: SparkSession, star: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
@@ -152,41 +195,53 @@ def run_kpis(spark: SparkSession, star: Mapping[str, DataFrame], folder: str) ->
     return saved
 
 
-def _store_report_base(spark: SparkSession, folder: str, batch_id: int | str) -> None:
-    """The report base of one batch: its fact rows joined to all dimensions once, for every page to read.
-
-    Rows without a year, market, segment or category pass no report filter and are left out.
-    """
-    star = read_tables(spark, folder, PRIMARY_KEYS)
-    star["fact_orders"] = spark.read.parquet(f"{folder}/fact_orders/batch_id={batch_id}")
-    write_orders(report_filter(st.star_join(star)), f"{folder}/{REPORT_BASE}", batch_id)
+def _writes(tables: Mapping[str, DataFrame], folder: str) -> list[Callable[[], int]]:
+    return [partial(write_table, df, f"{folder}/{name}") for name, df in tables.items()]
 
 
-def _store_lines(spark: SparkSession, wide: DataFrame, folder: str, batch_id: int | str) -> DataFrame:
-    write_orders(wide, f"{folder}/lines", batch_id)
-    stored = spark.read.parquet(f"{folder}/lines/batch_id={batch_id}")
-    return stored.select(*wide.columns)
+def _puts(new: Changes, tables: Mapping[str, DataFrame]) -> list[Callable[[], int]]:
+    return [partial(new.put, name, df) for name, df in tables.items()]
 
 
-def _writes(tables: Mapping[str, DataFrame], folder: str) -> list[Callable[[], int]]:
-    return [partial(write_table, df, f"{folder}/{name}") for name, df in tables.items()]
+def _put_lines(new: Changes, wide: DataFrame, batch_id: str) -> tuple[DataFrame, int]:
+    """The lines of a batch as they are stored, and their number."""
+    rows = put_orders(new, "lines", wide, batch_id)
+    return new.batch("lines", batch_id).select(*wide.columns), rows
 
 
-def _part_writes(wide: DataFrame, folder: str, batch_id: int | str) -> list[Callable[[], int]]:
+def _part_puts(new: Changes, wide: DataFrame, batch_id: str) -> list[Callable[[], int]]:
     """What the rollups need to know of a batch."""
     parts = {"rollup_cube": rollup_cube(wide), "supplier_products": supplier_product_pairs(wide)}
-    return [partial(write_batch, df, f"{folder}/{name}", batch_id) for name, df in parts.items()]
+    return [partial(new.put_batch, name, df, batch_id) for name, df in parts.items()]
 
 
-def _parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    stored = read_tables(spark, folder, ["rollup_cube", "supplier_products"])
+def _parts(new: Changes) -> tuple[DataFrame, DataFrame]:
+    stored = new.read("rollup_cube", "supplier_products")
     return stored["rollup_cube"], stored["supplier_products"]
 
 
-def _extend_dimensions(spark: SparkSession, wide: DataFrame, folder: str) -> None:
+def _put_fact(new: Changes, wide: DataFrame, batch_id: str) -> int:
+    """The fact rows of a batch and all that is kept current with them; returns their number."""
+    dims = new.read(*PRIMARY_KEYS)
+    fact = st.build_fact(wide, dims["dim_suppliers"], dims["dim_geography"])
+    fresh = rollups_from_cube(*_parts(new))
+    put = partial(put_orders, new, "fact_orders", check_contract(fact, "fact_orders"), batch_id)
+    added = run_together([put, *_puts(new, fresh)])[0]
+    star = {**dims, "fact_orders": new.batch("fact_orders", batch_id)}
+    # The report base: fact rows joined to all dimensions once, for every page to read. Rows without a year, market,
+    # segment or category pass no report filter and are left out.
+    base = report_filter(st.star_join(star))
+    parts = {PARTS: batch_parts(star, KPI_GROUPINGS), DISTINCTS: batch_distincts(star, KPI_GROUPINGS)}
+    run_together([partial(put_orders, new, REPORT_BASE, base, batch_id), *[partial(new.put_batch, n, df, batch_id) for n, df in parts.items()]])
+    checked = batch_quality(star["fact_orders"], new.batch(REPORT_BASE, batch_id))
+    run_together([partial(new.put_batch, n, df, batch_id) for n, df in checked.items()])
+    return added
+
+
+def _extend_dimensions(new: Changes, wide: DataFrame, batch_id: str) -> None:
     """Append the dimension rows that a batch needs and the warehouse does not have yet."""
-    dims = read_tables(spark, folder, PRIMARY_KEYS)
-    new = {
+    dims = new.read(*PRIMARY_KEYS)
+    rows = {
         "dim_date": _unseen(st.dim_date(wide), dims["dim_date"], ["date_id"]),
         "dim_geography": _numbered_on(
             _unseen(st.dim_geography(wide), dims["dim_geography"], GEO_COLUMNS), dims["dim_geography"], "geo_id"
@@ -196,18 +251,10 @@ def _extend_dimensions(spark: SparkSession, wide: DataFrame, folder: str) -> Non
         ),
     }
     if set(CUSTOMER_COLUMNS) <= set(wide.columns):
-        new["dim_customers"] = _unseen(st.dim_customers(split_customers(wide)), dims["dim_customers"], ["customer_id"])
+        rows["dim_customers"] = _unseen(st.dim_customers(split_customers(wide)), dims["dim_customers"], ["customer_id"])
     if set(PRODUCT_COLUMNS) <= set(wide.columns):
-        new["dim_products"] = _unseen(st.dim_products(split_products(wide)), dims["dim_products"], ["product_id"])
-
-    def extend(name: str, rows: DataFrame) -> None:
-        # Written aside first: a table cannot be appended to while it is being read.
-        aside = fresh_path(spark, f"new-{name}")
-        if write_table(rows, aside):
-            write_table(spark.read.parquet(aside).select(*dims[name].columns), f"{folder}/{name}", mode="append")
-        drop_path(spark, aside)
-
-    run_together([partial(extend, name, rows) for name, rows in new.items()])
+        rows["dim_products"] = _unseen(st.dim_products(split_products(wide)), dims["dim_products"], ["product_id"])
+    run_together([partial(new.add, name, df, batch_id) for name, df in rows.items()])
 
 
 def _unseen(rows: DataFrame, dim: DataFrame, keys) -> DataFrame:

@@ -6,7 +6,6 @@ Row counts come from observed metrics of the write itself, not from a second sca
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Iterable, Mapping
 from functools import partial, reduce
 
@@ -27,7 +26,8 @@ from pyspark.sql.types import (
 )
 
 from orderloom.schemas import CLEAN_DATE_FORMAT, FACT_COLUMNS, REFRESHED_TABLES, RUN_LOG, TABLE_SCHEMAS, WAREHOUSE_TABLES, YEAR
-from orderloom.session import run_together
+from orderloom.session import drop_path, run_together
+from orderloom.sources.files import beside, create_whole, put_in_place
 
 CSV_FORMAT = {
     "header": "true",
@@ -49,12 +49,18 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, options: Mapping[str, str] | None = None) -> int:
     """Write CSV with a header and return the number of rows. ``single_file`` is for results
-    that are small by definition; tables keep their partitions."""
+    that are small by definition; tables keep their partitions. The files are written aside and then put in place, so
+    readers find the old ones or the new ones."""
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if single_file:
         observed = observed.coalesce(1)
-    observed.write.mode("overwrite").options(**CSV_FORMAT, **(options or {})).csv(path)
+    aside = beside(path)
+    try:
+        observed.write.options(**CSV_FORMAT, **(options or {})).csv(aside)
+        put_in_place(df.sparkSession, aside, path)
+    finally:
+        drop_path(df.sparkSession, aside)
     return seen.get["rows"]
 
 
@@ -113,29 +119,11 @@ def export_refreshed(spark: SparkSession, tables: Mapping[str, DataFrame], folde
     return export_csv(spark, tables, folder, REFRESHED_TABLES)
 
 
-def load_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
-    """Replace the warehouse tables and return ``(table_name, n_rows)``."""
-
-    def load(name: str) -> tuple[str, int]:
-        path = f"{folder}/{name}"
-        if name == "fact_orders":
-            return name, append_fact(tables[name], path, FIRST_BATCH)
-        return name, write_table(check_contract(tables[name], name), path)
-
-    counts = run_together([partial(load, name) for name in WAREHOUSE_TABLES])
-    return spark.createDataFrame(counts, "table_name string, n_rows bigint")
-
-
 def replace_table(df: DataFrame, path: str) -> int:
     """Replace a table by a finished one: it is written aside first, so a failed write leaves the old table as it was."""
-    aside = f"{path}.new-{uuid.uuid4().hex[:12]}"
+    aside = beside(path)
     rows = write_table(df, aside)
-    jvm = df.sparkSession._jvm
-    new, old = jvm.org.apache.hadoop.fs.Path(aside), jvm.org.apache.hadoop.fs.Path(path)
-    files = old.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
-    files.delete(old, True)
-    if not files.rename(new, old):
-        raise OSError(f"{aside} could not be moved to {path}")
+    put_in_place(df.sparkSession, aside, path)
     return rows
 
 
@@ -232,11 +220,16 @@ def log_run(
     duration_secs: float,
     error_message: str | None = None,
 ) -> None:
-    """Append one run to the log; ids count up from 1."""
+    """Append one run to the log; ids count up from 1.
+
+    An id is taken by creating a file of its name, so two runs that end at once get two ids.
+    """
     spark.createDataFrame([], RUN_LOG).write.mode("ignore").parquet(path)
-    last = spark.read.schema(RUN_LOG).parquet(path).agg(F.max("run_id")).first()[0] or 0
+    run_id = (spark.read.schema(RUN_LOG).parquet(path).agg(F.max("run_id")).first()[0] or 0) + 1
+    while not create_whole(spark, f"{path}/_ids/{run_id}", status):
+        run_id += 1
     now = dt.datetime.now(dt.timezone.utc)
-    row = (last + 1, now, status, rows_processed, rows_inserted, source_table, round(duration_secs, 2), error_message)
+    row = (run_id, now, status, rows_processed, rows_inserted, source_table, round(duration_secs, 2), error_message)
     spark.createDataFrame([row], RUN_LOG).write.mode("append").parquet(path)
 
 

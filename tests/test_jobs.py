@@ -1,12 +1,17 @@
+import random
+from functools import reduce
+
 import pytest
 from pyspark.sql import functions as F
 
 from orderloom import testdata
+from orderloom.functions.measures import distinct
+from orderloom.operators import parts, quality
 from orderloom.operators.clean import clean_lines, narrow_types
-from orderloom.plans import batches, kpis, reports, rollups, warehouse
+from orderloom.plans import batches, checks, kpis, reports, rollups, warehouse
 from orderloom.schemas import FACT_COLUMNS, REFRESH_DROPS, TABLE_COLUMNS
-from orderloom.sources import readers, writers
-from orderloom.streaming.append import append_new_files
+from orderloom.sources import files, readers, snapshots, writers
+from orderloom.streaming.append import LEDGER, append_new_files
 
 
 @pytest.fixture(scope="module")
@@ -124,7 +129,7 @@ def test_daily_and_stream_batches_never_meet(spark, lines, folder, tmp_path):
     assert warehouse.open_warehouse(spark, folder)["fact_orders"].count() == start + day.count() + files.count()
     append_new_files(spark, incoming, lines.schema, folder, str(tmp_path / "b")).awaitTermination()
     after = warehouse.open_warehouse(spark, folder)
-    assert after["fact_orders"].count() == start + day.count() + 2 * files.count()
+    assert after["fact_orders"].count() == start + day.count() + files.count(), "another stream finds the same content"
     assert after["kpi_shipping"].agg(F.sum("total_orders")).first()[0] == after["fact_orders"].count()
     log = readers.run_history(spark, f"{folder}/pipeline_runs").collect()
     assert [r["status"] for r in log] == ["SUCCESS"] * 3
@@ -153,6 +158,151 @@ def test_failed_refresh_leaves_the_table(spark, tmp_path):
     assert writers.replace_table(spark.range(7), path) == 7 and spark.read.parquet(path).count() == 7
 
 
+STEPS = ("lines", "dim_date", "rollup_cube", "fact_orders", "kpi_monthly", "report_base", "kpi_parts")
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, lines, tmp_path_factory):
+    """A warehouse over half of the lines, and what its readers see."""
+    path = str(tmp_path_factory.mktemp("loaded") / "wh")
+    warehouse.build_warehouse(spark, lines.where("order_id % 2 = 0"), path)
+    return path, _seen(spark, path)
+
+
+def _seen(spark, folder):
+    return {n: _rows(df) for n, df in warehouse.open_warehouse(spark, folder).items() if n in ("fact_orders", "kpi_monthly", "supplier_metrics", "dim_date", "report_base")}
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_stop_after_any_step_leaves_the_old_version(spark, lines, loaded, monkeypatch, step):
+    folder, before = loaded
+    staged = snapshots.Changes._stage
+
+    def stopping(self, name, *args, **kwargs):
+        staged(self, name, *args, **kwargs)
+        if name == step:
+            raise KeyboardInterrupt("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(snapshots.Changes, "_stage", stopping)
+        m.setattr(snapshots.Changes, "__exit__", lambda self, *error: None)  # a writer that dies cleans nothing up
+        with pytest.raises(KeyboardInterrupt):
+            warehouse.append_lines(spark, folder, batches.shift_dates(lines.where("order_id % 50 = 1")), "daily-1")
+    assert _seen(spark, folder) == before
+    assert snapshots.newest(spark, folder).number == 1
+
+
+def test_leftovers_go_and_the_next_batch_is_whole(spark, lines, loaded):
+    folder, before = loaded
+    new = batches.shift_dates(lines.where("order_id % 50 = 1"))
+    old = warehouse.open_warehouse(spark, folder)
+    warehouse.append_lines(spark, folder, new, "daily-1")
+    assert {n: _rows(old[n]) for n in before} == before, "readers of a version go on seeing it"
+    after = warehouse.open_warehouse(spark, folder)
+    assert after["fact_orders"].count() == after["lines"].count() == lines.where("order_id % 2 = 0").count() + new.count()
+    assert snapshots.clean_up(spark, folder, keep=1)
+    assert _seen(spark, folder) == {n: _rows(after[n]) for n in before}
+    assert snapshots.clean_up(spark, folder, keep=1) == []
+
+
+def test_second_writer_fails_and_changes_nothing(spark, lines, folder):
+    day = batches.shift_dates(lines.where("order_id % 50 = 1"))
+    with pytest.raises(snapshots.StaleWriter, match="version 2"):
+        with snapshots.Changes(spark, folder) as slow:
+            slow.put("kpi_monthly", spark.range(1))
+            warehouse.append_lines(spark, folder, day, "daily-1")
+            seen = _seen(spark, folder)
+            slow.publish()
+    assert _seen(spark, folder) == seen
+    assert snapshots.newest(spark, folder).number == 2
+
+
+@pytest.mark.parametrize("linked", [True, False])
+def test_a_name_is_given_once(spark, tmp_path, monkeypatch, linked):
+    if not linked:  # the way of file systems that are no local folder
+        monkeypatch.setattr(files.os, "link", lambda a, b: files.rename_new(spark, a, b))
+    path = str(tmp_path / "x" / "name")
+    assert files.create_whole(spark, path, "first") and not files.create_whole(spark, path, "second")
+    assert (tmp_path / "x" / "name").read_text() == "first"
+    assert [p.name for p in (tmp_path / "x").iterdir() if not p.name.endswith(".crc")] == ["name"]
+
+
+def test_unreadable_file_is_a_logged_failure(spark, sf, folder, tmp_path):
+    raw = tmp_path / "bad.csv"
+    raw.write_text("Order Id,Order Item Quantity\n1,3000000000\n")
+    before = _seen(spark, folder)
+    for n, path in ((1, str(raw)), (2, str(tmp_path / "none.csv"))):
+        with pytest.raises(Exception):
+            warehouse.run_daily_file(spark, folder, path, n, None)
+    assert _seen(spark, folder) == before
+    runs = readers.run_history(spark, f"{folder}/pipeline_runs").collect()
+    assert [(r["run_id"], r["status"], r["rows_inserted"]) for r in runs] == [(2, "FAILED", 0), (1, "FAILED", 0)]
+    assert "does not fit" in runs[1]["error_message"]
+
+
+def test_same_content_under_another_name_is_added_once(spark, lines, folder, tmp_path):
+    incoming, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+    start = warehouse.open_warehouse(spark, folder)["fact_orders"].count()
+    part = lines.where("order_id % 50 = 3").withColumn("order_city", F.when(F.col("order_id") % 4 > 0, F.col("order_city")))
+    part.coalesce(1).write.parquet(incoming)
+    part.orderBy(F.desc("order_item_id")).coalesce(1).write.mode("append").parquet(incoming)  # twice in one batch
+    append_new_files(spark, incoming, lines.schema, folder, checkpoint).awaitTermination()
+    part.coalesce(1).write.mode("append").option("compression", "gzip").parquet(incoming)
+    lines.where("order_id % 50 = 5").coalesce(1).write.mode("append").parquet(incoming)
+    append_new_files(spark, incoming, lines.schema, folder, checkpoint).awaitTermination()
+    part.coalesce(1).write.mode("append").parquet(incoming)  # a batch of nothing else
+    append_new_files(spark, incoming, lines.schema, folder, checkpoint).awaitTermination()
+    after = warehouse.open_warehouse(spark, folder)
+    assert after["fact_orders"].count() == start + part.count() + lines.where("order_id % 50 = 5").count()
+    ledger = snapshots.open_tables(spark, folder, snapshots.newest(spark, folder), [LEDGER])[LEDGER]
+    assert sorted(r["status"] for r in ledger.collect()) == ["added"] * 2 + ["repeated"] * 3
+    log = readers.run_history(spark, f"{folder}/pipeline_runs").collect()
+    assert [(r["status"], r["rows_inserted"]) for r in log[:1]] == [("SUCCESS", 0)]
+
+
+def test_figures_come_from_stored_parts(spark, lines, folder):
+    """After a batch, with orders that were there already, KPIs and checks equal those from the fact without reading it."""
+    again = batches.shift_dates(lines.where("order_id % 50 IN (1, 2)"))
+    warehouse.append_lines(spark, folder, again, "daily-1")
+    after = warehouse.open_warehouse(spark, folder)
+    direct = parts.without_parts(after)
+    found = {f"kpi {n}": (kpis.kpi(after, n), kpis.kpi(direct, n)) for n in kpis.KPIS}
+    for check in (checks.totals, checks.delivery_status_share, checks.revenue_by_market, checks.top_categories, checks.segment_performance, checks.yearly_summary):
+        found[check.__name__] = (check(after), check(direct))
+    for name, (merged, counted) in found.items():
+        plan = merged._jdf.queryExecution().optimizedPlan().toString()
+        assert merged.collect() == counted.collect(), name
+        assert "fact_orders" not in merged._jdf.queryExecution().executedPlan().toString() and "order_item_id" not in plan, name
+    base = reports.report_base(after, ["department_name"])
+    twice = {**direct, "fact_orders": after["fact_orders"]}
+    for merged, counted in (
+        (quality.warehouse_health(after), quality.health_report(base)),
+        (quality.warehouse_scorecard(after), quality.scorecard(base)),
+        (quality.foreign_key_orphans({**after, "dim_products": after["dim_products"].where("product_id % 2 = 0")}),
+         quality.foreign_key_orphans({**twice, "dim_products": after["dim_products"].where("product_id % 2 = 0")})),
+    ):
+        assert _rows(merged) == _rows(counted) and any(r for r in merged.collect())
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "fact_orders" not in plan and "report_base" not in plan
+    assert {r["check"]: r["value"] for r in quality.warehouse_health(after).collect()}["duplicate_items"] > 0
+
+
+def test_sets_of_few_and_many_ids_merge(spark, monkeypatch):
+    monkeypatch.setattr(parts, "FEW_PLACES", 20)
+    grouping = {"fact_g": parts.Grouping(None, ("g",), (distinct("order_id", "n"),))}
+    halves = [
+        spark.range(a, b, step).select((F.col("id") % 3).alias("g"), (F.col("id") - 100).alias("order_id"))
+        for a, b, step in ((0, 300, 1), (200, 420, 7), (0, 400000, 1777))
+    ]
+    extra = spark.createDataFrame([(None, -5), (None, None), (None, -5), (1, -(2**63)), (1, 2**63 - 1)], "g bigint, order_id bigint")
+    batches_ = [*halves, extra]
+    stored = reduce(lambda a, b: a.unionByName(b), [parts.batch_distincts({"fact_orders": b}, grouping) for b in batches_])
+    assert stored.where("bits IS NOT NULL").count() and stored.where("places IS NOT NULL").count()
+    found = {r["key"]: r["n"] for r in parts._counted(stored).collect()}
+    rows = reduce(lambda a, b: a.union(b), batches_).groupBy("g").agg(F.count_distinct("order_id").alias("n")).collect()
+    assert found == {"{}" if r["g"] is None else f'{{"g":{r["g"]}}}': r["n"] for r in rows}
+
+
 def test_contract_names_what_is_wrong(spark):
     with pytest.raises(ValueError, match="geo_id is string.*order_city is missing"):
         writers.check_contract(spark.createDataFrame([("a", "b", "c", "d", "e")], "geo_id string, market string, order_region string, order_country string, order_state string"), "dim_geography")
@@ -196,6 +346,17 @@ def test_raw_csv_to_warehouse_to_kpi_files(spark, sf, tmp_path):
     assert len(counts) == 27 and counts["kpi_executive_summary"] == 1
     saved = spark.read.option("header", True).csv(str(tmp_path / "kpis" / "kpi01_on_time_by_mode"))
     assert saved.count() == 4
+    # A daily file: fields that are no number are counted with the batch, and nothing is left behind.
+    day, folder = str(tmp_path / "day"), str(tmp_path / "wh")
+    oops = F.when(F.col("Order Id") % 100 == 1, F.lit("oops")).otherwise(F.col("Sales").cast("string"))
+    given = testdata.raw_lines(spark, sf).where("`Order Id` % 50 = 1").withColumn("Sales", oops)
+    writers.write_csv(given, day, options={"encoding": "ISO-8859-1"})
+    warehouse.run_daily_file(spark, folder, day, 1, None)
+    found = snapshots.open_tables(spark, folder, snapshots.newest(spark, folder), [warehouse.UNREADABLE])[warehouse.UNREADABLE]
+    bad = {r["column"]: r["n_unreadable"] for r in found.where("batch_id = 'daily-1'").collect()}
+    assert bad["Sales"] == given.where("Sales = 'oops'").count() > 0 and bad["Order Id"] == 0
+    last = readers.run_history(spark, f"{folder}/pipeline_runs").first()
+    assert (last["status"], last["rows_inserted"]) == ("SUCCESS", given.count())
 
 
 def test_next_keys_follow_the_largest(spark):
@@ -210,6 +371,22 @@ def test_next_keys_follow_the_largest(spark):
     assert batches.assign_next_keys(batch.limit(1), existing.where("false")).first()["order_item_id"] == 1
 
 
+def test_numbering_reads_its_input_once(spark):
+    """Another random column at every evaluation: numbered from two of them, numbers would repeat or be left out."""
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def other(x):
+        reads.add(1)
+        return random.random()
+
+    batch = spark.range(700, numPartitions=3).select(F.col("id").alias("order_item_id"), other.asNondeterministic()("id").alias("v"))
+    numbered = batches.assign_next_keys(batch, spark.createDataFrame([(10,)], "order_item_id bigint"))
+    for _ in range(2):
+        assert sorted(r[0] for r in numbered.collect()) == list(range(11, 711))
+    assert reads.value == 700
+
+
 def test_sample_has_its_size_and_repeats_rows(spark):
     df = spark.range(100)
     drawn = [r[0] for r in batches.bootstrap_sample(df, 80, seed=3).collect()]
