@@ -11,7 +11,7 @@ count, never the result.
 Tasks ask whether a phrase is proposed of a bit filter of fixed size (``FILTER_BITS``, 16 MB), which is all that is
 broadcast. A phrase that the filter takes for proposed by mistake is counted as well, so mistakes cost work and change
 nothing; a filter filled by a very large corpus counts more of the phrases, still exactly. Within a slab of text phrases
-are pairs of whole numbers, exact ones; they are folded there, and only different ones become text.
+are tuples of whole numbers, exact ones; they are folded there, and only different ones become text.
 
 A null language is ``und``, a null or empty text has no words. A long text is cut at the ends of pieces. Repeated rows
 count again, null and repeated ids are like others, an empty table gives no rows, other columns are not read. Ties in
@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.scratch import stored
-from orderloom.llm.text import LOWER, assemble, constants, mix, raw, slabs, span_hashes, strings, whole_text, words
+from orderloom.llm.text import LOWER, mix, raw, slabs, span_hashes, strings, whole_text, words
 
 UNKNOWN = "und"
 #: The bytes that end a piece: . , ; : ! ? and line feed to carriage return; and the two that part words within it.
@@ -38,13 +39,15 @@ BLANKS = b" \t"
 SAMPLE_ONE_IN, SAMPLE_LEAST = 4, 2
 FILTER_BITS = 1 << 27
 #: Bytes of text that are folded together.
-FOLD_BYTES = 1 << 23
+FOLD_BYTES = 1 << 20
 #: Phrases in one Arrow batch.
 OUT_ROWS = 1 << 16
 #: Groups that phrases of a language are ranked in first.
 RANK_GROUPS = 64
 
-COUNTS = "lang string, size int, phrase string, n long"
+#: Stands between a phrase, which cannot hold it, and its language.
+SEPARATOR = "\t"
+COUNTS = "key string, n long"
 _END, _BLANK = np.zeros(256, bool), np.zeros(256, bool)
 _END[list(PIECE_ENDS)] = True
 _BLANK[list(BLANKS + PIECE_ENDS)] = True
@@ -125,8 +128,10 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.nd
         yield from out()
 
 
-def _counted(lang: pa.Array, data: np.ndarray, offsets: np.ndarray, longest: int, now: Proposals | None, before: Proposals | None) -> Iterator[pa.RecordBatch]:
-    """Counts of phrases of up to ``longest`` words.
+def _counted(
+    lang: pa.Array, data: np.ndarray, offsets: np.ndarray, longest: int, now: Proposals | None, before: Proposals | None
+) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """Counts of phrases of up to ``longest`` words, and whether they are single words.
 
     ``now`` None: of all phrases. Else of those whose parts are proposed now; with ``before``, but weren't then.
     """
@@ -144,8 +149,8 @@ def _counted(lang: pa.Array, data: np.ndarray, offsets: np.ndarray, longest: int
     owner = np.searchsorted(offsets, starts, "right") - 1
     piece = np.cumsum(end)[starts] + owner
     follows = np.append(piece[1:] == piece[:-1], False)  # the next word is in the same piece
-    buffer, _, bounds = assemble([(data, starts, ends - starts)])
-    spelled = strings(buffer, bounds).dictionary_encode()
+    bounds = np.concatenate([[0], np.cumsum(ends - starts)])
+    spelled = strings(pa.py_buffer(data[~blank]), bounds).dictionary_encode()
     names = lang.dictionary_encode()
     kinds = len(spelled.dictionary)
     tag = names.indices.to_numpy()[owner].astype(np.int64)
@@ -159,73 +164,79 @@ def _counted(lang: pa.Array, data: np.ndarray, offsets: np.ndarray, longest: int
     word_data, word_offsets = raw(spelled.dictionary)
     word_hash = span_hashes(word_data, word_offsets[:-1], word_offsets[1:])[have % kinds]
     lang_of = have // kinds
-    tail = np.arange(total)[:, None]  # words of each different phrase
+    text_of = spelled.dictionary.take(pa.array(have % kinds))
+    ended = pc.binary_join_element_wise(text_of, names.dictionary.take(pa.array(lang_of)), SEPARATOR)
     hashes = _chained(_language_hashes(names.dictionary)[lang_of], word_hash)
 
-    def out(phrases: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def out(ids: list[np.ndarray], n: np.ndarray) -> Iterator[tuple[bool, pa.RecordBatch]]:
         for at in range(0, len(n), OUT_ROWS):
-            some = phrases[at : at + OUT_ROWS]
-            segments = []
-            for j in range(some.shape[1]):
-                if j:
-                    segments.append(constants([b" "], np.zeros(len(some), int)))
-                spot = have[some[:, j]] % kinds
-                segments.append((word_data, word_offsets[spot], word_offsets[spot + 1] - word_offsets[spot]))
-            text, _, text_bounds = assemble(segments)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    names.dictionary.take(pa.array(lang_of[some[:, 0]])),
-                    pa.array(np.full(len(some), some.shape[1], np.int32)),
-                    strings(text, text_bounds),
-                    pa.array(n[at : at + OUT_ROWS]),
-                ],
-                names=["lang", "size", "phrase", "n"],
-            )
+            some = [pa.array(i[at : at + OUT_ROWS]) for i in ids]
+            spelling = [*[text_of.take(i) for i in some[:-1]], ended.take(some[-1])]
+            key = pc.binary_join_element_wise(*spelling, " ") if len(spelling) > 1 else spelling[0]
+            yield len(ids) == 1, pa.RecordBatch.from_arrays([key, pa.array(n[at : at + OUT_ROWS])], names=["key", "n"])
 
     if before is None:
         spoken = np.bincount(lang_of, counts[have], len(names.dictionary)).astype(np.int64)
         some = np.flatnonzero(spoken)
-        yield pa.RecordBatch.from_arrays(
-            [names.dictionary.take(pa.array(some)), pa.array(np.zeros(len(some), np.int32)), pa.array([""] * len(some)), pa.array(spoken[some])],
-            names=["lang", "size", "phrase", "n"],
-        )
-        yield from out(tail, counts[have])
-    known = now.has(hashes) if now else np.ones(total, bool)
-    was = before.has(hashes) if before else np.zeros(total, bool)
-    place_of = word_of
+        all_words = pc.binary_join_element_wise("", names.dictionary.take(pa.array(some)), SEPARATOR)
+        yield True, pa.RecordBatch.from_arrays([all_words, pa.array(spoken[some])], names=["key", "n"])
+        yield from out([np.arange(total)], counts[have])
+    # At every place: is the phrase of so many words that starts there counted and proposed, now and before; its hash.
+    known = (now.has(hashes) if now else np.ones(total, bool))[word_of]
+    was = (before.has(hashes) if before else np.zeros(total, bool))[word_of]
+    hash_at = hashes[word_of]
     for size in range(2, longest + 1):
-        # At every place: the phrase of one word less that starts there (-1: none is counted), and so the next place.
-        first = np.flatnonzero(follows & (place_of >= 0))
-        first = first[place_of[first + 1] >= 0]
-        a, b = place_of[first], place_of[first + 1]
-        ok = known[a] & known[b]
-        first, a, b = first[ok], a[ok], b[ok]
-        if not len(first):
-            return
-        last = word_of[first + size - 1]
-        distinct, one, at, n = np.unique(a * total + last, return_index=True, return_inverse=True, return_counts=True)
-        fresh = ~(was[a[one]] & was[b[one]])
-        phrases = np.column_stack([tail[a[one]], last[one]])
-        yield from out(phrases[fresh], n[fresh])
+        first = np.flatnonzero(follows & known)
+        first = first[known[first + 1]]
+        then = was[first] & was[first + 1]
+        fresh = first[~then]
+        yield from out(*_distinct([word_of[fresh + j] for j in range(size)], total))
         if size == longest:
             return
-        hashes = _chained(hashes[a[one]], word_hash[last[one]])
-        known = now.has(hashes) if now else np.ones(len(n), bool)
-        was = before.has(hashes) & ~fresh if before else np.zeros(len(n), bool)
-        tail = phrases
-        place_of = np.full(len(word_of), -1)
-        place_of[first] = at
-
-
-def _counts(rows: DataFrame, longest: int, now, before=None) -> DataFrame:
-    """``lang, size, phrase, n``; size 0: all words of a language. ``now`` and ``before`` are broadcast proposals."""
+        h = _chained(hash_at[first], word_hash[word_of[first + size - 1]])
+        known, was = np.zeros(len(word_of), bool), np.zeros(len(word_of), bool)
+        known[first] = now.has(h) if now else True
+        was[first] = then & before.has(h) if before else False
+        hash_at[first] = h
+
+
+def _distinct(ids: list[np.ndarray], total: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Different rows of several columns of numbers below ``total``, and how often each occurs."""
+    if total ** len(ids) >= 1 << 63:
+        rows, n = np.unique(np.column_stack(ids), axis=0, return_counts=True)
+        return list(rows.T), n
+    key = ids[0].copy()
+    for more in ids[1:]:
+        key *= total
+        key += more
+    key, n = np.unique(key, return_counts=True)
+    out = []
+    for _ in ids:
+        key, one = np.divmod(key, total)
+        out.append(one)
+    return out[::-1], n
+
+
+def _counts(rows: DataFrame, longest: int, now, before=None, least: int = 1) -> DataFrame:
+    """``lang, size, phrase, n`` with at least ``least`` occurrences; size 0: all words of a language.
+
+    ``now`` and ``before`` are broadcast proposals. Phrases are folded for each slab of text, in which a frequent one is a
+    row like any other; few occur again in the same task, so they are shuffled as they are, under one key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [Proposals(np.frombuffer(b.value, np.uint8)) if b is not None else None for b in (now, before)]
-        for lang, data, offsets in _joined(batches):
-            yield from _counted(lang, data, offsets, longest, *filters)
-
-    return rows.mapInArrow(run, COUNTS).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+        for text in _joined(batches):
+            yield from (out for _, out in _counted(*text, longest, *filters))
+
+    counts = rows.mapInArrow(run, COUNTS).repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
+    at = F.instr("key", SEPARATOR)
+    phrase = F.substring("key", F.lit(1), at - 1)
+    frequent = counts.where((F.col("n") >= least) | (at == 1))
+    blanks = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit("")))
+    return frequent.select(F.substring("key", at + 1, F.length("key")).alias("lang"), phrase.alias("phrase"), "n").select(
+        "lang", F.when(F.col("phrase") == "", 0).otherwise(blanks + 1).alias("size"), "phrase", "n"
+    )
 
 
 def _bits(phrases: DataFrame, bits: int) -> np.ndarray:
@@ -266,12 +277,11 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, least: int = 10, filter_
     )
     rows = given.select("lang", "text")
     sample = given.where(F.pmod(F.xxhash64("id", "text"), F.lit(SAMPLE_ONE_IN)) == 0).select("lang", "text")
-    seen = _counts(sample, max(longest - 1, 1), None).where((F.col("size") > 0) & (F.col("n") >= min(SAMPLE_LEAST, least)))
+    seen = _counts(sample, max(longest - 1, 1), None, least=min(SAMPLE_LEAST, least)).where("size > 0")
     bits = _bits(seen, filter_bits)
     now, before, found = broadcast(bits.tobytes()), None, []
     while True:
-        counted = _counts(rows, longest, now, before).where((F.col("size") == 0) | (F.col("n") >= least))
-        found.append(stored(counted, "phrases"))
+        found.append(stored(_counts(rows, longest, now, before, least), "phrases"))
         failed = _failed(found[-1], now, longest)
         more = _bits(failed, filter_bits)
         if not more.any():
