@@ -21,6 +21,7 @@ from orderloom.schemas import (
     RUN_LOG,
     struct_of,
 )
+from orderloom.sources.records import read_records
 
 # Texts that mean "no value" in a CSV field.
 MISSING = (
@@ -56,13 +57,14 @@ def _open(read, path: str) -> DataFrame:
 
 
 def read_raw_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """The fields of a raw Latin-1 CSV with a header, as text. Fields with line breaks need ``multiline``, which keeps
-    Spark from splitting a file."""
+    """The fields of a raw Latin-1 CSV with a header, as text. Fields with line breaks need ``multiline``, see
+    :mod:`orderloom.sources.records`; files are split in either case."""
+    if multiline:
+        return _open(lambda p: read_records(spark, p), path)
     reader = (
         spark.read.option("header", True)
         .option("encoding", "ISO-8859-1")
         .option("escape", '"')
-        .option("multiLine", multiline)
     )
     return _open(reader.csv, path)
 

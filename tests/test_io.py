@@ -1,4 +1,5 @@
 import os
+import random
 from decimal import Decimal
 
 import pytest
@@ -43,6 +44,36 @@ def test_multiline_fields_on_request(spark, tmp_path):
     assert readers.read_raw_csv(spark, str(tmp_path / "m.csv"), multiline=True).first()["Product Name"] == "two\nlines"
 
 
+@pytest.fixture
+def small_splits(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in before:
+        spark.conf.set(k, "200")
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_line_breaks_in_fields_are_read_in_many_tasks(spark, tmp_path, small_splits):
+    """Records of many lines, longer than a split, doubled quotes, files of either line end: the rows of the one-task reader."""
+    rng = random.Random(1)
+    for file, end in (("a.csv", "\r\n"), ("b.csv", "\n")):
+        pieces = ["a", end, '""', ",", "é", " ", end * 2, '"",""', "x" * 40]
+        out = ["Order Id,Product Name,Sales" + end]
+        for i in range(150):
+            field = "".join(rng.choice(pieces) for _ in range(rng.choice([0, 1, 3, 9])))
+            out.append(f'{i},"{field}",{rng.choice(["", "1.5", "plain"])}{end}')
+            if i == 70:
+                out.append('999,"' + f"long {end}" * 200 + f'",2{end}{end}')
+        (tmp_path / file).write_bytes("".join(out).encode("latin-1"))
+    found = readers.read_raw_text(spark, str(tmp_path), multiline=True)
+    one = spark.read.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').option("multiLine", True).csv(str(tmp_path))
+    assert found.columns == one.columns
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, one.collect()))
+    lines = spark.read.option("lineSep", "\n").text(str(tmp_path))
+    assert lines.rdd.getNumPartitions() > 20
+
+
 def test_wrong_header_of_a_clean_file_fails(spark, tmp_path):
     for name in ("orders", "customers", "products"):
         os.makedirs(tmp_path / f"{name}_clean")
