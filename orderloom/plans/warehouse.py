@@ -232,7 +232,8 @@ def _put_fact(new: Changes, wide: DataFrame, batch_id: str) -> int:
     # segment or category pass no report filter and are left out.
     base = report_filter(st.star_join(star))
     parts = {PARTS: batch_parts(star, KPI_GROUPINGS), DISTINCTS: batch_distincts(star, KPI_GROUPINGS)}
-    run_together([partial(put_orders, new, REPORT_BASE, base, batch_id), *[partial(new.put_batch, n, df, batch_id) for n, df in parts.items()]])
+    put_base = partial(put_orders, new, REPORT_BASE, base, batch_id, cluster_by=["market", "category"])
+    run_together([put_base, *[partial(new.put_batch, n, df, batch_id) for n, df in parts.items()]])
     checked = batch_quality(star["fact_orders"], new.batch(REPORT_BASE, batch_id))
     run_together([partial(new.put_batch, n, df, batch_id) for n, df in checked.items()])
     return added

@@ -130,17 +130,24 @@ class Changes:
         table = self.tables[name]
         return _read(self.spark, self.folder, name, Table(table.schema, tuple(p for p in table.parts if p.batch == batch)))
 
-    def put_batch(self, name: str, df: DataFrame, batch: int | str, partition_by: Iterable[str] = ()) -> int:
+    def put_batch(
+        self, name: str, df: DataFrame, batch: int | str, partition_by: Iterable[str] = (), cluster_by: Iterable[str] = ()
+    ) -> int:
         """Add the rows of a batch, in place of what the same batch wrote before; ``batch_id`` becomes a column.
 
-        Types are those of the first batch; what they cannot hold is an error before anything is written.
+        Types are those of the first batch; what they cannot hold is an error before anything is written. Rows come
+        together by ``partition_by`` and the first column of ``cluster_by`` and lie in the order of all those columns, so
+        a scan for a few of their values passes over the files and row groups that hold others.
         """
         by = [BATCH, *partition_by]
         if name in self.tables:
             df = conformed(df, StructType([f for f in self.tables[name].schema.fields if f.name != BATCH]), name)
         rows = df.withColumn(BATCH, F.lit(str(batch)))
+        cluster = list(cluster_by)
         if partition_by:  # few files: rows of one folder come together, and a large folder is still split over tasks
-            rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
+            rows = rows.hint("rebalance", *[F.col(c) for c in [*partition_by, *cluster[:1]]])
+        if cluster:
+            rows = rows.sortWithinPartitions(*by, *cluster)
         schema = StructType([*[f for f in df.schema.fields if f.name not in by], StructField(BATCH, StringType()), *[df.schema[c] for c in partition_by]])
         return self._stage(name, rows, str(batch), schema, by, lambda p: p.batch != str(batch))
 
@@ -223,6 +230,6 @@ def _load(new: Changes, name: str, df: DataFrame) -> int:
     return new.put(name, check_contract(df, name))
 
 
-def put_orders(new: Changes, name: str, df: DataFrame, batch: int | str) -> int:
+def put_orders(new: Changes, name: str, df: DataFrame, batch: int | str, cluster_by: Iterable[str] = ()) -> int:
     """Stage a batch of order rows, by order year: a report on some years reads only those."""
-    return new.put_batch(name, df.withColumn(YEAR, F.year("order_date")), batch, [YEAR])
+    return new.put_batch(name, df.withColumn(YEAR, F.year("order_date")), batch, [YEAR], cluster_by)

@@ -1,6 +1,7 @@
 import random
 from functools import reduce
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -316,6 +317,27 @@ def test_report_pages_read_the_stored_base(star):
     assert _rows(reports.report_base(star, ["month"])) == _rows(reports.report_base(joined, ["month"]))
 
 
+def test_base_of_one_market_lies_in_few_files(spark, lines, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions stay apart, as large ones do
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        star = warehouse.build_warehouse(spark, lines, str(tmp_path / "wh"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    found = []
+    for file in (tmp_path / "wh" / "report_base").rglob("*.parquet"):
+        table = pq.read_table(file, columns=["market", "category"], partitioning=None).to_pydict()
+        rows = list(zip(table["market"], table["category"]))
+        assert rows == sorted(rows), "row groups cover short ranges"
+        found.append((min(table["market"]), max(table["market"])))
+    asked = [low <= "ASIA" <= high for low, high in found]
+    assert 0 < sum(asked) < len(asked) / 2, "minima and maxima leave most files out"
+    base = reports.report_base(star, markets=["ASIA"])
+    assert "EqualTo(market,ASIA)" in base._jdf.queryExecution().executedPlan().toString()
+    assert base.count() == star["report_base"].where("market = 'ASIA'").count() > 0
+
+
 def test_stream_takes_each_file_once(spark, lines, folder, tmp_path, star):
     incoming, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
 
