@@ -40,6 +40,8 @@ SAMPLE_ONE_IN, SAMPLE_LEAST = 4, 2
 FILTER_BITS = 1 << 27
 #: Bytes of text that are folded together.
 FOLD_BYTES = 1 << 20
+#: Different words that a task holds while it counts.
+HELD_WORDS = 300_000
 #: Phrases in one Arrow batch.
 OUT_ROWS = 1 << 16
 #: Groups that phrases of a language are ranked in first.
@@ -200,6 +202,32 @@ def _counted(
         hash_at[first] = h
 
 
+def _words_folded(counted: Iterator[tuple[bool, pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+    """Counts of phrases as they come, those of single words (flagged) added up as far as they fit."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+
+    def folded() -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).group_by("key").aggregate([("n", "sum")]).combine_chunks()
+        return pa.RecordBatch.from_arrays([table.column("key").chunk(0), table.column("n_sum").chunk(0)], names=["key", "n"])
+
+    for words_only, batch in counted:
+        if not words_only:
+            yield batch
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n > HELD_WORDS:
+            held = [folded()]
+            n = held[0].num_rows
+            if n > HELD_WORDS // 2:
+                yield from (held[0].slice(at, OUT_ROWS) for at in range(0, n, OUT_ROWS))
+                held, n = [], 0
+    if n:
+        whole = folded()
+        yield from (whole.slice(at, OUT_ROWS) for at in range(0, whole.num_rows, OUT_ROWS))
+
+
 def _distinct(ids: list[np.ndarray], total: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Different rows of several columns of numbers below ``total``, and how often each occurs."""
     if total ** len(ids) >= 1 << 63:
@@ -221,13 +249,13 @@ def _counts(rows: DataFrame, longest: int, now, before=None, least: int = 1) ->
     """``lang, size, phrase, n`` with at least ``least`` occurrences; size 0: all words of a language.
 
     ``now`` and ``before`` are broadcast proposals. Phrases are folded for each slab of text, in which a frequent one is a
-    row like any other; few occur again in the same task, so they are shuffled as they are, under one key.
+    row like any other; few occur again in the same task, so they are shuffled as they are, under one key. Single words do
+    occur again, and are folded for the task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = [Proposals(np.frombuffer(b.value, np.uint8)) if b is not None else None for b in (now, before)]
-        for text in _joined(batches):
-            yield from (out for _, out in _counted(*text, longest, *filters))
+        yield from _words_folded(out for text in _joined(batches) for out in _counted(*text, longest, *filters))
 
     counts = rows.mapInArrow(run, COUNTS).repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
     at = F.instr("key", SEPARATOR)
