@@ -29,6 +29,15 @@ FEW_PLACES = 1024
 Star = Mapping[str, DataFrame]
 
 
+class Warehouse(dict):
+    """The tables of one version. Only for these are stored figures read: a copy with other tables (``{**star, ...}``) is a
+    plain dict, whose figures come from its fact."""
+
+
+def has_parts(star: Star) -> bool:
+    return isinstance(star, Warehouse) and PARTS in star
+
+
 @dataclass(frozen=True)
 class Grouping:
     """Measures by ``keys``, of dimension ``through`` when given."""
@@ -57,7 +66,7 @@ def united(groupings: Sequence[Grouping]) -> dict[str, Grouping]:
 
 def folded(star: Star, through: str | None, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     """Complete partial aggregates of a grouping: merged from stored parts where the star has them, else from the fact."""
-    if PARTS in star:
+    if has_parts(star):
         return _merged(star, through, keys, measures)
     if through is None:
         return fold(star["fact_orders"], list(keys), measures)

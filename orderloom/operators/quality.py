@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.measures import distinct, finish, lines, lines_where, mean, rate, summarize
-from orderloom.operators.parts import DISTINCTS, PARTS, Grouping, batch_distincts, batch_parts, folded, united
+from orderloom.operators.parts import DISTINCTS, PARTS, Grouping, Warehouse, batch_distincts, batch_parts, folded, united
 from orderloom.schemas import FOREIGN_KEYS, PRIMARY_KEYS
 
 CHECKS = (
@@ -82,7 +82,7 @@ def batch_quality(fact: DataFrame, base: DataFrame) -> dict[str, DataFrame]:
 
 
 def _stored_base(star: Mapping[str, DataFrame]) -> DataFrame:
-    stored = {PARTS: star[BASE_PARTS], DISTINCTS: star[BASE_DISTINCTS]}
+    stored = Warehouse({PARTS: star[BASE_PARTS], DISTINCTS: star[BASE_DISTINCTS]})
     return finish(folded(stored, None, (), BASE.measures), (), BASE.measures)
 
 
@@ -148,7 +148,7 @@ def foreign_key_orphans(star: Mapping[str, DataFrame]) -> DataFrame:
     """
     found = []
     for key, table in FOREIGN_KEYS.items():
-        if KEY_COUNTS in star:
+        if isinstance(star, Warehouse) and KEY_COUNTS in star:
             used = star[KEY_COUNTS].where(F.col("key_column") == key).groupBy(F.col("key").alias(key)).agg(F.sum("n").alias("n"))
         else:
             used = star["fact_orders"].where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.measures import distinct, finish, lines, mean, money, rate, summarize
 from orderloom.functions.rounding import round_half_away
-from orderloom.operators.parts import PARTS, Grouping, folded, united
+from orderloom.operators.parts import Grouping, folded, has_parts, united
 
 Star = Mapping[str, DataFrame]
 
@@ -56,7 +56,7 @@ GROUPINGS = united([TOTALS, STATUS, MARKETS, CATEGORIES, SEGMENTS, YEARS])
 
 def _figures(star: Star, g: Grouping) -> DataFrame:
     """The measures of a grouping, from the stored parts of all batches or from the fact."""
-    if PARTS not in star and not g.keys:
+    if not has_parts(star) and not g.keys:
         return summarize(star["fact_orders"], [], g.measures)
     return finish(folded(star, g.through, g.keys, g.measures), g.keys, g.measures)
 

@@ -26,7 +26,7 @@ from orderloom.operators.keys import number_rows
 from orderloom.operators.profile import profile_of, profile_values
 from orderloom.operators.quality import batch_quality
 from orderloom.plans import checks, kpis
-from orderloom.operators.parts import DISTINCTS, PARTS, STORED, batch_distincts, batch_parts, united
+from orderloom.operators.parts import DISTINCTS, PARTS, STORED, Warehouse, batch_distincts, batch_parts, united
 from orderloom.plans.reports import REPORT_BASE, report_filter
 from orderloom.plans.rollups import (
     refreshed_from_cube,
@@ -65,7 +65,7 @@ def _first_load(new: Changes, lines: DataFrame) -> None:
 def open_warehouse(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The tables of the newest version of a warehouse, the wide ``lines`` they came from, the ``report_base`` and the
     stored parts of the KPIs. They stay as they are while later batches are added."""
-    return open_tables(spark, folder, newest(spark, folder), [*WAREHOUSE_TABLES, "lines", REPORT_BASE, *STORED])
+    return Warehouse(open_tables(spark, folder, newest(spark, folder), [*WAREHOUSE_TABLES, "lines", REPORT_BASE, *STORED]))
 
 
 def append_lines(spark: SparkSession, folder: str, batch: DataFrame, batch_id: str) -> tuple[int, int]:

@@ -285,7 +285,7 @@ def test_figures_come_from_stored_parts(spark, lines, folder):
     for merged, counted in (
         (quality.warehouse_health(after), quality.health_report(base)),
         (quality.warehouse_scorecard(after), quality.scorecard(base)),
-        (quality.foreign_key_orphans({**after, "dim_products": after["dim_products"].where("product_id % 2 = 0")}),
+        (quality.foreign_key_orphans(parts.Warehouse({**after, "dim_products": after["dim_products"].where("product_id % 2 = 0")})),
          quality.foreign_key_orphans({**twice, "dim_products": after["dim_products"].where("product_id % 2 = 0")})),
     ):
         assert _rows(merged) == _rows(counted) and any(r for r in merged.collect())
