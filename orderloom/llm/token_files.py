@@ -32,95 +32,110 @@ BLOCK_NAMES = [c.split()[0] for c in BLOCK_SCHEMA.split(",")]
 PIECE_SCHEMA = "part int, block int, ordinal long, doc_id long, place int, n long, crc long"
 
 
+ENCODED_SCHEMA = "doc_id long, ids binary, token_counts binary"
+
+
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text", kind: str = "<u4") -> DataFrame:
-    """``doc_id, ids``: the ids of every whole text, with ``end_id`` after them, as unsigned integers of the numpy type ``kind``."""
+    """``doc_id, ids, token_counts``: the ids of every whole text, with ``end_id`` after them, as unsigned integers of the type ``kind``.
+
+    Rows of documents have no ``token_counts``. Every task adds one row that has nothing else: ids it gave out, then how often each.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bpe.piece_table(tokenizer_path)
+        totals = np.zeros(0, np.int64)
         for slab in slabs(batches):
-            ids, first = bpe.encode_texts(table, *raw(slab.column(1)))
-            if end_id is not None:
-                ids = np.insert(ids, first[1:], end_id)
+            ids, first, _, _ = table.encode(*raw(slab.column(1)))
+            if end_id is None:
+                flat = ids.astype(kind)
+            else:
                 first = first + np.arange(len(first))
-            data = pa.py_buffer(ids.astype(kind).tobytes())
-            offsets = pa.py_buffer((np.dtype(kind).itemsize * first).astype(np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [slab.column(0), pa.BinaryArray.from_buffers(pa.binary(), len(first) - 1, [None, offsets, data])], names=["doc_id", "ids"]
-            )
+                flat = np.empty(first[-1], kind)
+                own = np.ones(len(flat), bool)
+                own[first[1:] - 1] = False
+                flat[own] = ids
+                flat[first[1:] - 1] = end_id
+            here = np.bincount(flat, minlength=len(totals))
+            here[: len(totals)] += totals
+            totals = here
+            offsets = pa.py_buffer((np.dtype(kind).itemsize * first).astype(np.int32))
+            given = pa.BinaryArray.from_buffers(pa.binary(), len(first) - 1, [None, offsets, pa.py_buffer(flat)])
+            yield pa.RecordBatch.from_arrays([slab.column(0), given, pa.nulls(len(given), pa.binary())], names=["doc_id", "ids", "token_counts"])
+        some = np.flatnonzero(totals)
+        if len(some):
+            counted = np.concatenate([some, totals[some]]).astype("<i8").tobytes()
+            none = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([counted], pa.binary())], names=["doc_id", "ids", "token_counts"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(run, ENCODED_SCHEMA)
 
 
-def _count(kind: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, np.int64)
-        for batch in batches:
-            ids = raw(batch.column(0))[0].view(kind)
-            here = np.bincount(ids, minlength=len(counts))
-            here[: len(counts)] += counts
-            counts = here
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["token", "n"])
-
-    return run
+def _unpacked_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.column(0):
+            some, counts = np.frombuffer(row.as_py(), "<i8").reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts)], names=["token", "n"])
 
 
 def _coded(table: rans.Frequencies, kind: str):
+    most = SIDE_BY_SIDE * rans.BLOCK_IDS
+    kinds = [pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 3, pa.int64(), pa.int64(), *[pa.binary()] * 3, pa.int64()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        ids, docs, counts, ordinal, block = [], [], [], 0, 0
-        held = 0
+        ids, docs, nulls, counts = [], [], [], []
+        held, block, ordinal = 0, 0, 0
 
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal ids, docs, counts, held, block, ordinal
-            flat = np.concatenate(ids) if ids else np.empty(0, kind)
+            nonlocal ids, docs, nulls, counts, held, block, ordinal
+            if not docs:
+                return
+            flat, doc_ids, no_id, sizes = (np.concatenate(x) for x in (ids, docs, nulls, counts))
+            ends = np.cumsum(sizes)
+            starts = ends - sizes
             take = len(flat) if last else len(flat) // rans.BLOCK_IDS * rans.BLOCK_IDS
-            rows, at, left = [], 0, list(counts)
-            doc = 0
-            for coded in rans.encode_blocks(flat[:take], table):
-                plain = flat[at : at + coded.n].astype("<u4").tobytes()
-                room, pieces, first = coded.n, [], doc
-                while doc < len(left) and (room or not left[doc]):
-                    n = min(room, left[doc])
-                    pieces.append(n)
-                    room -= n
-                    left[doc] -= n
-                    if left[doc]:
-                        break
-                    doc += 1
-                held_docs = docs[first : first + len(pieces)]
-                words = coded.words.astype("<u4").tobytes()
+            rows, at, doc = [], 0, 0
+
+            def row(n: int, words: bytes, marks: bytes, states: bytes, plain: bytes, until: int) -> None:
+                pieces = np.minimum(ends[doc:until], at + n) - np.maximum(starts[doc:until], at)
                 rows.append(
-                    (part, block, coded.n, words, coded.marks.astype("<i4").tobytes(), coded.states.astype("<u8").tobytes(),
-                     zlib.crc32(plain), zlib.crc32(words), np.array([d or 0 for d in held_docs], "<i8").tobytes(),
-                     bytes(d is None for d in held_docs), np.array(pieces, "<i4").tobytes(), ordinal + first)
+                    (part, block, n, words, marks, states, zlib.crc32(plain), zlib.crc32(words), doc_ids[doc:until].tobytes(),
+                     no_id[doc:until].tobytes(), pieces.astype("<i4").tobytes(), ordinal + doc)
                 )
-                block += 1
-                at += coded.n
-            ids, docs, counts, held = [flat[take:]], docs[doc:], left[doc:], len(flat) - take
+
+            for coded in rans.encode_blocks(flat[:take], table):
+                to = at + coded.n
+                whole = int(np.searchsorted(ends, to, "right"))  # documents that end in this block, and those without ids behind them
+                begun = int(np.searchsorted(starts, to, "left"))
+                plain = flat[at:to].astype("<u4", copy=False).tobytes()
+                row(coded.n, coded.words.astype("<u4", copy=False).tobytes(), coded.marks.astype("<i4").tobytes(), coded.states.tobytes(), plain, max(whole, begun))
+                block, at, doc = block + 1, to, whole
+            while last and doc < len(sizes):  # none of these has any id
+                until = min(doc + rans.BLOCK_IDS, len(sizes))
+                row(0, b"", b"", b"", b"", until)
+                block, doc = block + 1, until
+            left = ends[doc:] - np.maximum(starts[doc:], at)
+            ids, docs, nulls, counts, held = [flat[take:]], [doc_ids[doc:]], [no_id[doc:]], [left], len(flat) - take
             ordinal += doc
-            while last and docs:  # none of these has any id
-                some = docs[: rans.BLOCK_IDS]
-                names = np.array([d or 0 for d in some], "<i8").tobytes()
-                rows.append((part, block, 0, b"", b"", b"", zlib.crc32(b""), zlib.crc32(b""), names, bytes(d is None for d in some), bytes(4 * len(some)), ordinal))
-                block += 1
-                ordinal += len(some)
-                docs = docs[len(some) :]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=BLOCK_NAMES)
 
-        kinds = [pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 3, pa.int64(), pa.int64(), *[pa.binary()] * 3, pa.int64()]
         for batch in batches:
             data, offsets = raw(batch.column(1))
             flat, offsets = data.view(kind), offsets // np.dtype(kind).itemsize
-            for i, doc in enumerate(batch.column(0).to_pylist()):
-                own = flat[offsets[i] : offsets[i + 1]]
-                ids.append(own.copy())
-                docs.append(doc)
-                counts.append(len(own))
-                held += len(own)
-                if held >= SIDE_BY_SIDE * rans.BLOCK_IDS:
+            no_id = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            doc_ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8", copy=False)
+            at = 0
+            while at < len(doc_ids):
+                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most - held, "right")) - 1)
+                ids.append(flat[offsets[at] : offsets[to]])
+                docs.append(doc_ids[at:to])
+                nulls.append(no_id[at:to])
+                counts.append(np.diff(offsets[at : to + 1]))
+                held += int(offsets[to] - offsets[at])
+                at = to
+                if held >= most:
                     yield from flush(False)
         yield from flush(True)
 
@@ -133,20 +148,23 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int | None,
     A null or empty text has only its end id. Without an end id, documents may have no ids at all; those that are left after
     the last id of a part are named by blocks without ids, so every document is found again. Other columns are not looked at. An empty table gives a folder without blocks.
 
-    Texts are encoded once, to a stored table. Only ids are then shuffled, by ranges of document ids. The frequency table is as
-    long as the vocabulary, whatever the corpus.
+    Texts are encoded once, to a stored table, piece by piece (:class:`bpe.PieceTable`); the same tasks count their ids. Only ids
+    are then shuffled, by ranges of document ids. The frequency table is as long as the vocabulary, whatever the corpus. A text
+    of any length is encoded whole, alone in its slab, and runs over as many blocks as it fills.
     """
     spark = docs.sparkSession
     largest = max(len(bpe.token_table(tokenizer_path)[1]) - 2, end_id or 0)
     kind = "<u2" if largest < 1 << 16 else "<u4"  # between the two passes, ids take as little room as they need
     path = store(encoded(docs, tokenizer_path, end_id, id_col, text_col, kind), "token-ids")
-    ids = spark.read.schema("doc_id long, ids binary").parquet(path)
-    counts = {r["token"]: r["n"] for r in ids.select("ids").mapInArrow(_count(kind), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()}
+    rows = spark.read.schema(ENCODED_SCHEMA).parquet(path)
+    counted = rows.where(F.col("token_counts").isNotNull()).select("token_counts").mapInArrow(_unpacked_counts, "token long, n long")
+    counts = {r["token"]: r["n"] for r in counted.groupBy("token").agg(F.sum("n").alias("n")).collect()}
     table = rans.frequencies(np.array([counts.get(i, 0) for i in range(max(counts, default=-1) + 1)], np.int64))
     shares = [(int(i), int(table.share[i])) for i in np.flatnonzero(table.share)]
     spark.createDataFrame([(-1, table.bits), *shares], "token int, share int").coalesce(1).write.parquet(f"{folder}/table")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids")]
+    ids = rows.where(F.col("ids").isNotNull()).select("doc_id", "ids")
     ranged = ids.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     ranged.mapInArrow(_coded(table, kind), BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{folder}/blocks")
     remove(spark, path)
