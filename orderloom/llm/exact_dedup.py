@@ -156,15 +156,22 @@ def text_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of equal texts, one row with the largest id.
 
-    The other columns are joined to the texts that the tables hold, so a text is shuffled twice, never compared twice. Of
-    null and empty texts one row stays, as it is.
+    The other columns are joined to the texts that the tables hold, so a text is shuffled twice, never compared twice. Of rows
+    that share id and text (a null text being the empty one) the one whose columns, written as JSON, have the smallest
+    sha256 stays, so reruns agree; a task keeps one of its own before they are shuffled. Columns pass through whatever their
+    names and types. An empty table gives no rows.
     """
     top, digest, own, none = (free_name(docs, f"keep_{x}") for x in ("top", "digest", "text", "null"))
     groups = distinct_texts(docs, id_col, text_col, table_bytes)
     texts = groups.select(F.nullif(F.col("top"), F.lit(LOWEST)).alias(top), F.col("digest").alias(digest), F.col("text").cast("string").alias(own))
-    sha, empty = free_name(docs, "keep_sha"), F.col(f"`{text_col}`").isNull().alias(none)
+    number, sha, line = (free_name(docs, f"keep_{x}") for x in ("id", "sha", "line"))
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    rows = docs.select(*rest, empty, F.unhex(F.sha2(whole_text(text_col).cast("binary"), 256)).alias(sha)).dropDuplicates([id_col, sha])
-    found = rows.join(texts, rows[id_col].cast("long").eqNullSafe(F.col(top)) & (F.col(sha) == F.col(digest)))
-    whole = F.when(~F.col(none), F.col(own).cast(docs.schema[text_col].dataType)).alias(text_col)
-    return found.select(*[whole if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias(number),
+        F.unhex(F.sha2(whole_text(text_col).cast("binary"), 256)).alias(sha),
+        F.struct(F.col(f"`{text_col}`").isNull().alias(none), *rest).alias(line),
+    )
+    one = rows.groupBy(number, sha).agg(F.min_by(line, F.sha2(F.to_json(line), 256)).alias(line))
+    found = one.join(texts, F.col(number).eqNullSafe(F.col(top)) & (F.col(sha) == F.col(digest)))
+    whole = F.when(~F.col(f"{line}.{none}"), F.col(own).cast(docs.schema[text_col].dataType)).alias(text_col)
+    return found.select(*[whole if c == text_col else F.col(f"{line}.`{c}`").alias(c) for c in docs.columns])
