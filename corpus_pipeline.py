@@ -1,4 +1,8 @@
-"""Documents to training tokens: language, exact copies, near copies, mix, token ids. Each stage reads what the one before wrote."""
+"""Documents to training tokens: language, exact copies, near copies, mix, token ids. Each stage reads what the one before wrote.
+
+All stages take empty tables, null and empty texts, texts of any length, null and repeated ids and repeated rows. All but the last
+return the columns they got, under any names, unchanged; the last returns ids and digests, and doesn't look at other columns.
+"""
 
 from __future__ import annotations
 
@@ -14,18 +18,25 @@ from orderloom.session import tune
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Profiles are learned from the documents that name their language; documents without a letter go, all others stay.
 
-    Where no document names its language, none can be predicted; then letters alone decide.
+    Null and empty texts have no letter. Repeated rows stay as often as they came. Columns bear numbers while
+    predictions stand beside them, so the table's own ``lang_pred`` or ``score`` keep their values. Where no document
+    names its language, none can be predicted; then letters alone decide.
     """
     settle(tune(spark))
-    profiles = langid.learn(docs)
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    plain = docs.toDF(*place.values())
+    profiles = langid.learn(plain, place["text"], place["lang"])
     if not profiles.languages:
         return docs.where(F.coalesce("text", F.lit("")).rlike(r"\p{L}"))
-    found = langid.predict(docs, profiles)
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+    found = langid.predict(plain, profiles, place["text"])
+    return found.where(F.col("lang_pred") != langid.UNKNOWN).select([F.col(p).alias(c) for c, p in place.items()])
 
 
 def one_of_equal_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest id stays."""
+    """Of equal texts, the document with the largest id stays; of rows with one id and text, always the same one.
+
+    A null text equals the empty one, a null id is below all others.
+    """
     settle(tune(spark))
     return exact_dedup.drop_copies(docs)
 
