@@ -108,7 +108,28 @@ def test_without_labels_letters_decide(spark):
     assert [r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, "").collect()] == [1]
 
 
+def test_columns_pass_through_all_stages_and_reruns_agree(spark):
+    rng = random.Random(3)
+    rows = [(i, t, lang, source, n, round(rng.random(), 3), f"own {k}", k, b"x", [k]) for k, (i, t, lang, source, n) in enumerate(documents(5))]
+    rows += [(7000, "one text of two rows", lang, "a", 1, s, "own", 0, None, None) for lang, s in (("en", 0.25), ("fr", 0.5), (None, 0.75))]
+    rows += [(7001, t, "en", "b", 1, s, "own", 0, None, []) for t, s in ((None, 0.1), ("", 0.2))]
+    rows += [(None, t, "en", None, 1, 0.5, "own", 0, b"", None) for t in ("a text without an id", "a text without an id", "another one")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, lang_pred string, `n.x` int, keep_line binary, keep_text array<int>"
+    values = {tuple(map(repr, r)) for r in rows}
+    kept = []
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, schema).repartition(parts, "score")
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = spark.createDataFrame(stage(spark, docs, "").collect(), schema)  # without a link to the rows before
+            assert docs.columns == [c.split()[0].strip("`") for c in schema.split(", ")], name
+            assert {tuple(repr(bytes(v) if isinstance(v, bytearray) else v) for v in r) for r in docs.collect()} <= values, name
+            assert name != "exact_dedup" or sorted(r["doc_id"] for r in docs.where("doc_id >= 7000").collect()) == [7000]
+        ids = corpus_pipeline.token_ids(spark, docs, "").select("doc_id", "ids_sha256").collect()
+        kept.append((sorted(map(repr, docs.collect())), sorted(map(repr, ids))))
+    assert kept[0] == kept[1]
+
+
 def test_every_operator_is_registered():
     names = set(entry_points.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names and set(queries.ORACLES) <= set(entry_points.oracle_sql())
