@@ -87,3 +87,60 @@ def test_flags_written_as_floats_are_read(spark):
     rows = coerce_fact_types(df).collect()
     assert [r["on_time_flag"] for r in rows] == [1, 0, 0]
     assert [float(r["sales"]) for r in rows] == [2.0, 0.0, 12345678901.5]
+
+
+def _lines_with_contradictions(spark):
+    schema = "customer_id bigint, product_id bigint, segment string, category string, product_name string, order_item_id bigint"
+    rows = [
+        (1, 10, "A", "x", "p", 1),
+        (1, 10, "A", "x", "p", 2),
+        (2, 10, "B", "x", "q", 3),  # another name for product 10
+        (2, 11, None, "y", "r", 4),  # customer 2 without a segment
+        (3, None, "C", "z", "s", 5),
+        (None, 11, "D", "y", "r", 6),
+        (4, 12, "E", "w", "t", 7),  # a product the dimension doesn't know
+    ]
+    return spark.createDataFrame(rows, schema)
+
+
+def _small_star(spark, fact):
+    return {
+        "fact_orders": fact,
+        "dim_customers": spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (4, "F")], "customer_id bigint, segment string"),
+        "dim_products": spark.createDataFrame([(10, "x", "p"), (11, "y", "r")], "product_id bigint, category string, product_name string"),
+    }
+
+
+def test_corrections_are_the_keys_whose_lines_contradict(spark):
+    lines = _lines_with_contradictions(spark)
+    w = _small_star(spark, lines)
+    customers = star.line_corrections(lines, w["dim_customers"], "dim_customers").collect()
+    products = star.line_corrections(lines, w["dim_products"], "dim_products").collect()
+    assert sorted(tuple(r) for r in customers) == [(2, "B"), (4, "F")]
+    assert sorted(tuple(r) for r in products) == [(10, "x", "p"), (12, None, None)]
+    assert star.line_corrections(lines.drop("segment"), w["dim_customers"], "dim_customers") is None
+
+
+def test_corrected_lines_bear_what_the_join_gives(spark, monkeypatch):
+    lines = _lines_with_contradictions(spark)
+    w = _small_star(spark, lines)
+    monkeypatch.setattr(star, "FACT_COLUMNS", ("order_item_id", "customer_id", "product_id"))
+    attributes = ["segment", "category", "product_name"]
+    joined = star.star_join({**w, "fact_orders": lines.drop(*attributes)}, attributes).collect()
+    fixed = {d: star.line_corrections(lines, w[d], d) for d in star.LARGE_DIMENSIONS}
+    corrected = star.star_join(w, attributes, fixed).collect()
+    assert sorted(map(str, corrected)) == sorted(map(str, joined))
+
+
+def test_id_sets_are_shuffled_once_and_not_as_bitmaps(spark, sf):
+    from orderloom.catalog import warehouse_of
+    from orderloom.operators.parts import batch_distincts
+    from orderloom.plans.warehouse import KPI_GROUPINGS
+
+    sets = batch_distincts(dict(warehouse_of(spark, sf)), KPI_GROUPINGS)
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(grouping") == 1
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
