@@ -60,3 +60,14 @@ def test_splits_take_the_columns_that_exist(spark):
     df = spark.createDataFrame([(1, 2, "A", 3)], "order_id int, customer_id int, market string, order_item_id int")
     assert clean.split_orders(df).columns == ["order_id", "order_item_id", "customer_id", "market"]
     assert clean.split_customers(df).columns == ["customer_id"]
+
+
+def test_title_case_replaces_only_where_something_follows_a_non_letter(spark):
+    from orderloom.functions.text import title_case
+
+    values = ["same DAY", "women's  gOODS", "brand#13b", "a_b-C", " ÉTÉ x", "-ⅰ", "ΑΣ1Σ", "ΑΣ", "", None, "x\ty", "a  b."]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    spaced = F.regexp_replace("v", r"(\P{L})", "$1 ")
+    always = F.regexp_replace(F.initcap(spaced), r"(\P{L}) ", "$1")
+    assert df.where(~title_case(F.col("v")).eqNullSafe(always)).count() == 0
+    assert "rlike" in str(title_case(F.col("v"))).lower()
