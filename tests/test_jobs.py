@@ -421,3 +421,13 @@ def test_sample_has_its_size_and_repeats_rows(spark):
     assert len(drawn) == 80 and len(set(drawn)) < 80 and set(drawn) <= set(range(100))
     assert batches.bootstrap_sample(df, 250, seed=3).count() == 250
     assert batches.bootstrap_sample(df.limit(0), 5, seed=3).count() == 0
+
+
+def test_a_caller_can_drop_the_ranked_rows_of_a_batch(spark, sf, tmp_path):
+    from orderloom import testdata
+    from orderloom.plans import batches
+
+    lines = testdata.order_lines(spark, sf).limit(50)
+    ranked = tmp_path / "ranked"
+    numbered = batches.assign_next_keys(lines, lines, str(ranked))
+    assert ranked.exists() and numbered.count() == 50
