@@ -144,3 +144,5 @@ def test_id_sets_are_shuffled_once_and_not_as_bitmaps(spark, sf):
 
 def test_shuffle_files_go_with_their_job(spark):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    counted = spark.range(100).groupBy(F.col("id") % 7).count().repartition(3)
+    assert sorted(counted.collect()) == sorted(counted.collect())  # what is asked again is computed again
