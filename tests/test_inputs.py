@@ -52,6 +52,15 @@ def test_lines_alone_are_those_of_the_warehouse(spark, tables):
     assert alone.schema == stored.schema and _rows(alone) == _rows(stored)
 
 
+def test_lines_alone_write_only_what_they_are_made_of(spark, tables):
+    """Derived columns and copies of columns are not written before the tables that are asked for."""
+    lines = catalog._lines(spark, tables)
+    read = {p.rsplit("/", 2)[-2] for p in lines.inputFiles()}
+    assert len(read) == 1 and read.pop().startswith("joined-")
+    stored = catalog._stored(spark, tables, "joined", None)
+    assert set(stored.columns) == set(testdata.JOINED_COLUMNS) and len(stored.columns) < len(lines.columns) / 2
+
+
 def test_lines_of_an_order_are_brought_together_last(spark, tables):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -431,3 +431,15 @@ def test_a_caller_can_drop_the_ranked_rows_of_a_batch(spark, sf, tmp_path):
     ranked = tmp_path / "ranked"
     numbered = batches.assign_next_keys(lines, lines, str(ranked))
     assert ranked.exists() and numbered.count() == 50
+
+
+def test_cube_has_a_row_for_each_group_of_a_rollup(star):
+    """Not one for each combination of month, region, mode and supplier that occurs, which is nearly one per line."""
+    wide = star["lines"]
+    cube = rollups.rollup_cube(wide)
+    keys = [rollups.MONTH_KEYS, rollups.REGION_KEYS, rollups.MODE_KEYS, [*rollups.SUPPLIER_KEYS, "order_region"]]
+    assert cube.count() == sum(wide.select(*k).distinct().count() for k in keys)
+    fresh = rollups.rollups_from_cube(cube.unionByName(cube), rollups.supplier_product_pairs(wide))
+    direct = rollups.rollups(wide.unionByName(wide))
+    for name, rows in direct.items():
+        assert _rows(fresh[name].select(*rows.columns)) == _rows(rows), name
