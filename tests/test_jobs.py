@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orderloom import testdata
 from orderloom.functions.measures import distinct
 from orderloom.operators import parts, quality
+from orderloom.operators import star as operators_star
 from orderloom.operators.clean import clean_lines, narrow_types
 from orderloom.plans import batches, checks, kpis, reports, rollups, warehouse
 from orderloom.schemas import FACT_COLUMNS, REFRESH_DROPS, TABLE_COLUMNS
@@ -443,3 +444,32 @@ def test_cube_has_a_row_for_each_group_of_a_rollup(star):
     direct = rollups.rollups(wide.unionByName(wide))
     for name, rows in direct.items():
         assert _rows(fresh[name].select(*rows.columns)) == _rows(rows), name
+
+
+def test_figures_of_lines_that_bear_their_attributes_are_those_through_the_dimension(spark, star):
+    """Also where lines contradict their dimension row, or refer to none."""
+    lines = star["lines"].withColumns({
+        "category": F.when(F.col("order_id") % 7 != 0, F.col("category")),
+        "segment": F.when(F.col("order_id") % 5 == 0, "OTHER").otherwise(F.col("segment")),
+        "product_id": F.when(F.col("order_id") % 11 != 0, F.col("product_id")),
+    })
+    through = {**parts.without_parts(star), "fact_orders": operators_star.build_fact(lines, star["dim_suppliers"], star["dim_geography"])}
+    bearing = {
+        d: operators_star.bearing_rows(lines, d, operators_star.line_corrections(lines, star[d], d), through["fact_orders"])
+        for d in operators_star.LARGE_DIMENSIONS
+    }
+    given = {n: g for n, g in warehouse.KPI_GROUPINGS.items() if g.through in bearing}
+    assert _rows(parts.batch_parts(through, given, bearing)) == _rows(parts.batch_parts(through, given))
+    sets = [parts.batch_distincts(through, given, b).withColumn("places", F.array_sort("places")) for b in (bearing, {})]
+    assert _rows(sets[0]) == _rows(sets[1])
+
+
+def test_ids_are_shuffled_once_for_their_sets(spark):
+    ids = spark.range(5000).select((F.col("id") % 3000 + 1).alias("order_id"), F.lit("a").alias("order_status"))
+    grouping = {"g": parts.Grouping(None, ("order_status",), (distinct("order_id", "n"),))}
+    sets = parts.batch_distincts({"fact_orders": ids}, grouping)
+    rows = sets.collect()
+    assert [(r["places"], r["bits"] is not None) for r in rows] == [(None, True)]
+    assert parts._counted(sets).first()["n"] == 3000
+    final = sets._jdf.queryExecution().executedPlan().toString()
+    assert final.split("== Initial Plan ==")[-1].count("Exchange ") == 1, final
