@@ -1,9 +1,12 @@
 """A third of all rows on one key: the work is split or folded, and nothing is lost."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.operators.clean import split_customers
+from orderloom.operators.clean import split_customers, split_products
+from orderloom.operators.keys import keep_first
 from orderloom.operators.star import star_join
 from orderloom.plans import checks, kpis
 from orderloom.operators.parts import without_parts
@@ -73,3 +76,20 @@ def test_keep_first_combines_before_the_shuffle(hot_star, star):
     df = split_customers(star["lines"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "partial_min(struct" in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("split", [split_customers, split_products])
+def test_keep_first_does_not_sort_the_lines(star, split):
+    """Lines are folded by hashing; only what is left of them meets the struct, whose aggregate sorts."""
+    plan = split(star["lines"])._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"(\w+Aggregate)\(", plan)[-1] == "HashAggregate"
+
+
+def test_keep_first_is_the_smallest_struct_whatever_is_null_or_repeated(spark):
+    rows = [(None, 4, "x", 1), (None, 3, None, 2), (1, 7, "b", 1), (1, 7, "b", 1), (1, 7, "a", 9), (1, 8, None, 0)]
+    rows += [(2, None, "z", 5), (2, None, "y", 6), (2, 1, "a", 0), (3, 2, None, None), (3, 2, None, 1)]
+    df = spark.createDataFrame(rows * 3, "k int, item long, name string, n int").repartition(5)
+    found = {tuple(r) for r in keep_first(df, "k", ["item"], ["k", "name", "n"]).collect()}
+    assert found == {(None, None, 2), (1, "a", 9), (2, "y", 6), (3, None, None)}
+    signed = df.select("k", "item", F.lit("-0.0").cast("double").alias("v"))
+    assert {str(r["v"]) for r in keep_first(signed, "k", ["item"], ["k", "v"]).collect()} == {"-0.0"}
