@@ -45,3 +45,19 @@ def test_manifests_without_folders_are_read(spark):
     schema = spark.range(1).schema.jsonValue()
     text = json.dumps({"version": 3, "tables": {"t": {"schema": schema, "parts": [{"path": "t/part=x", "batch": "0", "rows": 5}]}}})
     assert snapshots.Version.of_text(text).tables["t"].parts == (snapshots.Part("t/part=x", "0", 5),)
+
+
+def test_numbered_rows_are_not_shuffled_to_meet_their_buckets(spark, tmp_path):
+    from orderloom.plans.batches import assign_next_keys
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = spark.range(500).select(F.col("id").alias("order_item_id"), (F.col("id") % 7).alias("n"))
+        keyed = assign_next_keys(batch, batch, str(tmp_path / "ranked"))
+        ids = sorted(r["order_item_id"] for r in keyed.collect())
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert ids == list(range(500, 1000))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
