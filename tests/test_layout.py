@@ -61,3 +61,21 @@ def test_numbered_rows_are_not_shuffled_to_meet_their_buckets(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert ids == list(range(500, 1000))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_csv_that_is_read_back_is_compressed_in_short_files(spark, sf, tmp_path, monkeypatch):
+    from orderloom import catalog
+    from orderloom.sources import writers
+
+    monkeypatch.setattr(writers, "ROWS_OF_A_CSV_FILE", 30)
+    monkeypatch.setattr(catalog, "fresh_path", lambda spark, name: str(tmp_path / name))
+    rows = spark.range(200).select(F.col("id").alias("Order Id"), F.lit(' é "x", ').alias("Product Name")).coalesce(1)
+    monkeypatch.setattr(catalog, "raw_of", lambda spark, sf_dir: rows)
+    found = catalog.QUERIES["scan_raw_csv"](spark, sf)
+    files = [f for f in (tmp_path / "raw-csv").rglob("part-*") if f.suffix != ".crc"]
+    assert len(files) == 7 and all(f.name.endswith(".csv.gz") for f in files)
+    assert sorted(r["order_id"] for r in found.collect()) == list(range(200))
+    assert found.select("product_name").distinct().first()[0] == ' é "x", '
+    cleaned = spark.range(3).select(F.col("id").alias("order_id"))
+    writers.save_cleaned(cleaned, cleaned, cleaned, str(tmp_path / "c"), csv=True, options=writers.compressed_csv())
+    assert all(list((tmp_path / "c" / f"{n}_clean").glob("*.csv.gz")) for n in ("orders", "customers", "products"))
